@@ -24,7 +24,7 @@ def _valid(df: DataFrame, country: str, time: str, order_id: str, vars: JobVars)
 
 def stg_events(raw: DataFrame, vars: JobVars) -> DataFrame:
     kept = _valid(raw, "h_country", "h_datetime", "h_logistic_order_id", vars).where(
-        F.col("h_event_type").isNotNull() & F.col("h_datetime").isNotNull()
+        F.col("h_event_type").isNotNull()
     )
     renamed = {
         "h_logistic_order_id": "logistic_order_id", "h_source_order_id": "source_order_id",

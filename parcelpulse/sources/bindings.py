@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelpulse.functions.times import HOUR_MICROS
 from parcelpulse.sources import schemas as S
 
 # Job variables that fit the dates of these tables.
@@ -24,9 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _later(base: Column, hours: Column | int) -> Column:
-    h = F.lit(hours) if isinstance(hours, int) else hours
-    return F.timestamp_add("HOUR", h.cast("int"), base)
+def _later(start: Column, hours: Column | int) -> Column:
+    """Start and result are microseconds since the epoch: plain long arithmetic."""
+    h = F.lit(hours) if isinstance(hours, int) else hours.cast("long")
+    return start + h * F.lit(HOUR_MICROS)
+
+
+def _as_text(micros: Column) -> Column:
+    return F.date_format(F.timestamp_micros(micros), TEXT_TIME)
 
 
 def _text(prefix: str, number: Column) -> Column:
@@ -43,7 +49,7 @@ def _promise_hours(priority: Column) -> Column:
 
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    start = _later(F.col("o_orderdate"), F.col("o_orderkey") % 24)
+    start = _later(F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey") % 24)
     return o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         start.alias("t0"),
@@ -95,7 +101,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lines(spark, sf_dir).select(*common, F.explode(F.filter(per_line, lambda e: e.isNotNull())).alias("e"))
     )
     key = F.col("o_orderkey").cast("string")
-    at = F.date_format("e.at", TEXT_TIME)
+    at = _as_text(F.col("e.at"))
     return events.select(
         key.alias("h_logistic_order_id"),
         _text("so-", F.col("o_orderkey")).alias("h_source_order_id"),
@@ -106,7 +112,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("C", F.col("o_custkey") % 4).alias("h_commerce"),
         at.alias("h_datetime"),
         F.when(F.col("o_orderkey") % 53 == 0, "n/a").otherwise(at).alias("d_executed_at"),
-        F.date_format(F.timestamp_add("MINUTE", F.lit(5), F.col("e.at")), TEXT_TIME).alias("publish_time"),
+        _as_text(F.col("e.at") + 300_000_000).alias("publish_time"),
         F.col("e.state").alias("d_state"),
         F.col("e.actor").alias("d_executed_by"),
         _text("FT", F.col("o_custkey") % 3).alias("d_fulfillment_order_type"),
@@ -119,10 +125,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent_at = _later(F.col("t0"), 49 + (13 * F.col("l_suppkey") + F.col("l_partkey")) % 96)
-    promise = F.date_format("promise", TEXT_TIME)
+    promise = _as_text(F.col("promise"))
     base = F.create_map(
         F.lit("dateTo"), promise,
-        F.lit("dateFrom"), F.date_format(_later(F.col("promise"), -24), TEXT_TIME),
+        F.lit("dateFrom"), _as_text(_later(F.col("promise"), -24)),
         F.lit("serviceCategory"), F.col("o_orderpriority"),
         F.lit("timeRangeFrom"), F.lit("09:00"),
         F.lit("timeRangeTo"), F.lit("21:00"),
@@ -133,7 +139,7 @@ def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("sh-", F.col("o_orderkey")).alias("shipment_id"),
         F.concat_ws("-", "o_orderkey", "l_linenumber").alias("package_id"),
         F.lit(S.DISPATCHED).alias("event_type"),
-        F.date_format(sent_at, TEXT_TIME).alias("event_dt"),
+        _as_text(sent_at).alias("event_dt"),
         "country",
         F.lit(S.SHIPMENT_CONFIRMED).alias("package_status"),
         F.when(F.col("o_custkey") % 10 == 0, collect).otherwise(base).alias("promised_date"),
@@ -152,7 +158,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("o_orderkey").cast("string").alias("logistic_order_id"),
             F.lit(S.CREATED).alias("event_type"),
-            F.date_format("t0", TEXT_TIME).alias("event_dt"),
+            _as_text(F.col("t0")).alias("event_dt"),
             "country",
             F.col("l_partkey").alias("sku"),
             F.col("l_suppkey").alias("seller_id"),
