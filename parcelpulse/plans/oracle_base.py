@@ -19,8 +19,9 @@ def hours(a: str, b: str) -> str:
 LAYERS: dict[str, str] = {}
 
 LAYERS["base_orders"] = """
-    SELECT *, t0 + to_hours(CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 200 WHEN '2' THEN 260
-                            WHEN '3' THEN 330 WHEN '4' THEN 370 ELSE 420 END) AS promise
+    SELECT *, t0 + to_hours(CASE WHEN o_orderkey % 29 = 0 THEN -10 WHEN o_orderpriority LIKE '1%' THEN 200
+                            WHEN o_orderpriority LIKE '2%' THEN 260 WHEN o_orderpriority LIKE '3%' THEN 330
+                            WHEN o_orderpriority LIKE '4%' THEN 370 ELSE 420 END) AS promise
     FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
                  o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS t0,
                  strftime(o_orderdate, '%Y-%m') AS year_month,
@@ -80,7 +81,8 @@ LAYERS["stg_packages"] = f"""
            o_orderkey || '-' || l_linenumber AS package_id,
            'FULFILMENT_ORDER_PACKAGES_DISPATCHED' AS event_type, sent_ts AS event_at, country,
            'SHIPMENT_CONFIRMED' AS package_status,
-           strftime(promise, '%Y-%m-%d %H:%M:%S') AS promised_date_to,
+           CASE WHEN o_orderkey % 17 = 0 THEN 'por confirmar' ELSE strftime(promise, '%Y-%m-%d %H:%M:%S') END
+               AS promised_date_to,
            strftime(promise - INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S') AS promised_date_from,
            o_orderpriority AS service_category, '09:00' AS promised_time_from, '21:00' AS promised_time_to,
            CASE WHEN o_custkey % 10 = 0 THEN strftime(promise, '%Y-%m-%d %H:%M:%S') END
@@ -98,8 +100,8 @@ LAYERS["stg_items"] = f"""
 """
 
 LAYERS["promise"] = """
-    SELECT logistic_order_id, min(CAST(promised_date_to AS TIMESTAMP)) AS promised_date_to,
-           min(CAST(promised_date_from AS TIMESTAMP)) AS promised_date_from,
+    SELECT logistic_order_id, min(TRY_CAST(promised_date_to AS TIMESTAMP)) AS promised_date_to,
+           min(TRY_CAST(promised_date_from AS TIMESTAMP)) AS promised_date_from,
            max(service_category) AS service_category, bool_or(is_click_and_collect) AS is_click_and_collect
     FROM stg_packages WHERE event_type = 'FULFILMENT_ORDER_PACKAGES_DISPATCHED' GROUP BY ALL
 """

@@ -55,7 +55,9 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("t0"),
         F.date_format("o_orderdate", "yyyy-MM").alias("year_month"),
         F.when(F.col("o_custkey") % 50 == 0, "PE").otherwise("CL").alias("country"),
-        _later(start, _promise_hours(F.col("o_orderpriority"))).alias("promise"),
+        _later(
+            start, F.when(F.col("o_orderkey") % 29 == 0, -10).otherwise(_promise_hours(F.col("o_orderpriority")))
+        ).alias("promise"),
     )
 
 
@@ -127,7 +129,7 @@ def raw_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent_at = _later(F.col("t0"), 49 + (13 * F.col("l_suppkey") + F.col("l_partkey")) % 96)
     promise = _as_text(F.col("promise"))
     base = F.create_map(
-        F.lit("dateTo"), promise,
+        F.lit("dateTo"), F.when(F.col("o_orderkey") % 17 == 0, "por confirmar").otherwise(promise),
         F.lit("dateFrom"), _as_text(_later(F.col("promise"), -24)),
         F.lit("serviceCategory"), F.col("o_orderpriority"),
         F.lit("timeRangeFrom"), F.lit("09:00"),
