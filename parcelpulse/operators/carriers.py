@@ -60,11 +60,11 @@ def carrier_per_order(
     """
     order = F.struct(seen, "carrier_code", "carrier_name")
     per_code = carriers.groupBy(*key, "carrier_code").agg(
-        F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.min("year_month").alias("year_month")
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("first"), F.min("year_month").alias("first_month")
     )
     best = per_code.groupBy(*key).agg(
         F.min(F.struct((-F.col("n")).alias("minus_n"), "first")).alias("best"),
-        F.min("first").alias("first"), F.min("year_month").alias("first_month"), F.sum("n").alias("n_envelopes"),
+        F.min("first").alias("first"), F.min("first_month").alias("first_month"), F.sum("n").alias("n_envelopes"),
     )
     name = F.col("best.first.carrier_name") if name_of_code else F.col("first.carrier_name")
     rest = [F.col("first_month").alias("year_month")] if "year_month" not in key else []

@@ -203,7 +203,7 @@ def importance(fitted: Fitted, df: DataFrame) -> DataFrame:
     gains = fitted.model.featureImportances.toArray()
     splits = [0] * len(names)
     for tree in fitted.model.trees:
-        for node in tree._call_java("toDebugString").splitlines():
+        for node in tree.toDebugString.splitlines():
             if "If (feature " in node:
                 splits[int(node.split("If (feature ")[1].split()[0])] += 1
     rows = [(n, float(g), s) for n, g, s in zip(names, gains, splits)]

@@ -5,10 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from parcelpulse.operators import carriers as ca
+from parcelpulse.operators import diagnostics as dg
+from parcelpulse.operators import evaluation as ev
+from parcelpulse.operators import features as ft
+from parcelpulse.operators import flow as fl
+from parcelpulse.operators import lookups as lk
+from parcelpulse.operators import models as ml
 from parcelpulse.operators import orders as fo
+from parcelpulse.operators import quality as qc
+from parcelpulse.operators import replay as rp
+from parcelpulse.operators import scoring as sc
 from parcelpulse.operators import timeline as tl
 from parcelpulse.plans.warehouse import Warehouse, open_warehouse
+from parcelpulse.session import new_folder, staged
+from parcelpulse.sources import bindings as B
+from parcelpulse.sources import readers, sinks
+from parcelpulse.sources import schemas as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +33,9 @@ def query(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFra
     return fn
 
 
+# --- staging and marts ---------------------------------------------------------------
+
+
 @query
 def stg_events(w: Warehouse) -> DataFrame:
     return w.stg_events
@@ -43,6 +61,12 @@ def order_timeline(w: Warehouse) -> DataFrame:
     return w.timeline
 
 
+@query
+def order_timeline_by_order(w: Warehouse) -> DataFrame:
+    """One row per order id, in the month of its creation."""
+    return tl.order_timeline(w.stg_events, w.stg_packages, w.vars.high_season, keys=("logistic_order_id",))
+
+
 @query
 def stage_baselines(w: Warehouse) -> DataFrame:
     return w.baselines.orderBy("year_month")
@@ -61,3 +85,613 @@ def fact_orders(w: Warehouse) -> DataFrame:
 @query
 def order_disruptions(w: Warehouse) -> DataFrame:
     return fo.ranked_for_review(w.disruptions)
+
+
+# --- sources, sinks and quality ------------------------------------------------------
+
+
+@query
+def conform_scan(w: Warehouse) -> DataFrame:
+    """Package log conformed to its fixed columns: casts, missing columns, dropped extras."""
+    raw = B.raw_packages(w.spark, w.sf_dir).withColumn("extra", F.lit(1))
+    return readers.conform(raw, S.PACKAGE_EVENTS)
+
+
+@query
+def month_scan(w: Warehouse) -> DataFrame:
+    """Write the package log by country and month, then read some months of one country."""
+    root = new_folder(w.spark, "month-scan")
+    log = B.raw_packages(w.spark, w.sf_dir).select("logistic_order_id", "package_id", "event_dt", "country", "year_month")
+    log.hint("rebalance", "country", "year_month").write.partitionBy("country", "year_month").parquet(root)
+    kept = readers.scan_months(w.spark, root, "CL", ["1996-03", "1997-04", "1998-05"])
+    return kept.groupBy("country", "year_month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("logistic_order_id").alias("n_orders")
+    )
+
+
+@query
+def month_reload_roundtrip(w: Warehouse) -> DataFrame:
+    """Load all months, load the months of 1997 again, and reconcile: nothing doubles."""
+    log = w.package_log
+    path = new_folder(w.spark, "month-reload")
+    sinks.reload_months(log, path)
+    sinks.reload_months(log.where(F.col("year_month").startswith("1997")), path)
+    return qc.reconcile(log, w.spark.read.schema(log.schema).parquet(path))
+
+
+@query
+def missing_months_append(w: Warehouse) -> DataFrame:
+    """Load three years, then append the months still missing; months already there stay."""
+    log = w.package_log
+    path = new_folder(w.spark, "missing-months")
+    sinks.reload_months(log.where("year_month < '1998-01'"), path)
+    sinks.append_missing_months(log, path)
+    return w.spark.read.schema(log.schema).parquet(path).groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("logistic_order_id").alias("n_orders")
+    )
+
+
+@query
+def first_wins_upsert(w: Warehouse) -> DataFrame:
+    """Carriers of even-numbered orders first, then of all: an order keeps its first row."""
+    rows = w.carriers.select(
+        "logistic_order_id", "carrier_code", "carrier_name", "year_month",
+        F.col("seen.l_linenumber").alias("n1"), F.col("seen.l_partkey").alias("n2"), F.col("seen.l_suppkey").alias("n3"),
+    )
+    order = ["year_month", "n1", "n2", "n3", "carrier_code"]
+    even = rows.where(F.col("logistic_order_id").cast("long") % 2 == 0)
+    target = sinks.insert_if_absent(even, None, ["logistic_order_id"], order)
+    more = sinks.insert_if_absent(rows, target, ["logistic_order_id"], order)
+    return target.unionByName(more).select("logistic_order_id", "carrier_code", "carrier_name", "year_month")
+
+
+@query
+def text_roundtrip(w: Warehouse) -> DataFrame:
+    """CSV, tab-separated and JSON sinks written and read back: rows and NULLs survive."""
+    base = new_folder(w.spark, "text")
+    df = w.orders.select("logistic_order_id", "service_category", "actor_responsable", "hours_total")
+    sinks.write_csv(df, f"{base}/csv")
+    sinks.write_tsv(df, f"{base}/tsv")
+    sinks.write_json_sets({"orders": df, "legs": w.disruptions.groupBy("tramo_disruptivo").count()}, f"{base}/json")
+    read = w.spark.read.schema(df.schema)
+    back = {
+        "csv": read.option("header", True).csv(f"{base}/csv"),
+        "tsv": read.option("header", True).option("sep", "\t").option("nullValue", "\\N").csv(f"{base}/tsv"),
+        "json": read.json(f"{base}/json/orders"),
+    }
+    out = None
+    for name, x in back.items():
+        row = x.agg(
+            F.count(F.lit(1)).alias("n"), F.count("actor_responsable").alias("n_actor"),
+            F.count("hours_total").alias("n_hours"), F.round(F.sum("hours_total"), 2).alias("sum_hours"),
+        ).select(F.lit(name).alias("formato"), "*")
+        out = row if out is None else out.unionByName(row)
+    assert out is not None
+    return out
+
+
+@query
+def layer_materialisation(w: Warehouse) -> DataFrame:
+    """A layer as a view and as a stored table by month hold the same rows."""
+    view = sinks.as_view(w.disruptions, "stg_disruptions_view")
+    stored = sinks.as_table(w.disruptions, new_folder(w.spark, "disruptions"), sort=F.col("logistic_order_id"))
+    return qc.reconcile(view, stored)
+
+
+@query
+def replace_predictions(w: Warehouse) -> DataFrame:
+    """Predictions written twice over: the second write replaces the first."""
+    path = new_folder(w.spark, "predictions")
+    rows = B.stand_in_predictions(w.dataset).drop("horas", "horas_pred")
+    sinks.replace_predictions(rows, path)
+    sinks.replace_predictions(rows, path)
+    stored = w.spark.read.schema(rows.schema).parquet(path)
+    return stored.groupBy("split_set").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("hit").cast("long")).alias("n_hit"),
+        F.round(F.sum(F.col("prob").cast("double")), 4).alias("sum_prob"),
+    )
+
+
+@query
+def nested_to_json(w: Warehouse) -> DataFrame:
+    flat = sinks.flatten_nested(B.raw_packages(w.spark, w.sf_dir))
+    return flat.select(
+        "logistic_order_id", "package_id", "event_dt",
+        F.get_json_object("promised_date", "$.serviceCategory").alias("service_category"),
+        F.get_json_object("promised_date", "$.dateTo").alias("date_to"),
+        F.get_json_object("promised_date", "$.collectAvailabilityDate").alias("collect_date"),
+    )
+
+
+@query
+def reconcile_counts(w: Warehouse) -> DataFrame:
+    """Raw orders against the timeline per month; months with filtered orders do not match."""
+    source = w.source("orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("year_month"))
+    return qc.reconcile(source, w.timeline)
+
+
+@query
+def load_report(w: Warehouse) -> DataFrame:
+    return qc.load_report(w.package_log.unionByName(w.package_events, allowMissingColumns=True))
+
+
+@query
+def not_null_report(w: Warehouse) -> DataFrame:
+    events = B.raw_events(w.spark, w.sf_dir)
+    return qc.null_report({
+        "events": (events, ["h_logistic_order_id", "h_event_type", "h_country", "h_datetime"]),
+        "event_items": (B.raw_items(w.spark, w.sf_dir), ["logistic_order_id", "has_insurance"]),
+        "event_packages": (B.raw_packages(w.spark, w.sf_dir), ["logistic_order_id", "carrier"]),
+    })
+
+
+@query
+def accepted_values(w: Warehouse) -> DataFrame:
+    return qc.accepted_values(B.raw_events(w.spark, w.sf_dir), "h_country", ["CL", "CO"])
+
+
+@query
+def duplicate_keys(w: Warehouse) -> DataFrame:
+    return qc.duplicate_keys(w.source("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def key_report(w: Warehouse) -> DataFrame:
+    return qc.key_report(w.orders, ["logistic_order_id"])
+
+
+# --- event flow and carriers ---------------------------------------------------------
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+FLOW_HOURS = S.FLOW_NUMERIC[:4]
+
+
+@query
+def flow_features(w: Warehouse) -> DataFrame:
+    return _rounded(w.flow, *FLOW_HOURS)
+
+
+@query
+def flow_attached(w: Warehouse) -> DataFrame:
+    joined = fl.attach_flow(w.dataset.select("logistic_order_id", "year_month"), w.flow)
+    return _rounded(joined, *FLOW_HOURS)
+
+
+@query
+def flow_from_array(w: Warehouse) -> DataFrame:
+    rows = B.itineraries(w.orders).select("pedido", "eventos")
+    return _rounded(fl.flow_from_array(rows).drop("eventos"), *FLOW_HOURS)
+
+
+@query
+def carrier_first(w: Warehouse) -> DataFrame:
+    return w.carriers.select(
+        "logistic_order_id", F.col("seen.l_linenumber").alias("n1"), F.col("seen.l_partkey").alias("n2"),
+        F.col("seen.l_suppkey").alias("n3"), "carrier_code", "carrier_name", "year_month",
+    )
+
+
+@query
+def carrier_mode(w: Warehouse) -> DataFrame:
+    return w.carrier_per_order
+
+
+@query
+def carrier_earliest_month(w: Warehouse) -> DataFrame:
+    return ca.carrier_earliest_month(w.carriers)
+
+
+@query
+def carrier_coverage(w: Warehouse) -> DataFrame:
+    return ca.carrier_coverage(ca.attach_carrier(w.dataset, w.carrier_per_order), ["split_set"])
+
+
+@query
+def top_carriers(w: Warehouse) -> DataFrame:
+    return ca.top_carriers(w.carrier_per_order, 10)
+
+
+@query
+def carrier_search(w: Warehouse) -> DataFrame:
+    """Rows of one carrier among files with and without the column, found below one folder."""
+    root = new_folder(w.spark, "tracking")
+    found = w.carriers.select("logistic_order_id", F.col("carrier_code").alias("carrier"), "year_month")
+    found.write.parquet(f"{root}/with/deep")
+    found.select("logistic_order_id", "year_month").write.parquet(f"{root}/without")
+    tree = readers.scan_tree(w.spark, root)
+    return readers.search_equal(tree, "carrier", "S3").groupBy("carrier", "year_month").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- feature tables ------------------------------------------------------------------
+
+
+@query
+def ml_dataset(w: Warehouse) -> DataFrame:
+    return w.dataset
+
+
+@query
+def historical_rates(w: Warehouse) -> DataFrame:
+    return _rounded(w.history, *ft.RATES)
+
+
+@query
+def dataset_join_history(w: Warehouse) -> DataFrame:
+    """Dataset with history and carrier, unknown carriers named as such."""
+    joined = ca.attach_carrier(w.dataset_with_history, w.carrier_per_order)
+    return _rounded(
+        joined.select("logistic_order_id", "split_set", "carrier_code", "target_binario", *S.HISTORY_NUMERIC), *ft.RATES
+    )
+
+
+@query
+def leg_population(w: Warehouse) -> DataFrame:
+    rows = ft.leg_population(w.dataset, w.orders, ["hours_deposito", "hours_despacho", "hours_ultima_milla"])
+    return rows.select(
+        "logistic_order_id", "split_set", "hours_deposito", "hours_despacho", "hours_ultima_milla",
+        ft.leg_class(F.col("target_tramo")).alias("clase_tramo"),
+    )
+
+
+@query
+def hours_population(w: Warehouse) -> DataFrame:
+    return ft.hours_population(w.dataset).select(
+        "logistic_order_id", "split_set", "target_horas_totales", "sla_horas_prometidas", "desvio_sla"
+    )
+
+
+@query
+def read_by_month(w: Warehouse) -> DataFrame:
+    """Some months of a stored feature table, some columns, in one scan."""
+    months = ["1999-01", "1999-02", "2000-05", "2001-03"]
+    return readers.read_features(
+        w.dataset_with_history, months=months, columns=["logistic_order_id", "year_month", "split_set", "total_items"]
+    )
+
+
+# --- diagnostics ---------------------------------------------------------------------
+
+
+def _population(w: Warehouse) -> DataFrame:
+    return ft.hours_population(w.dataset)
+
+
+@query
+def dist_by_class(w: Warehouse) -> DataFrame:
+    probs = (0.05, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
+    return dg.describe_by(dg.with_class(_population(w)), dg.HOURS, ["target_binario", "clase"], probs, spread=True)
+
+
+@query
+def dist_by_category(w: Warehouse) -> DataFrame:
+    rows = dg.with_class(_population(w))
+    return dg.describe_by(rows, dg.HOURS, ["service_category", "clase"], (0.50, 0.90, 0.99), spread=False)
+
+
+@query
+def pivot_ratio(w: Warehouse) -> DataFrame:
+    return dg.pivot_ratio(dist_by_category(w))
+
+
+@query
+def stratified_sample(w: Warehouse) -> DataFrame:
+    rows = dg.with_class(_population(w)).select("logistic_order_id", "clase", dg.HOURS)
+    return dg.sample_per_class(rows, "clase", "logistic_order_id", 1000)
+
+
+@query
+def histogram(w: Warehouse) -> DataFrame:
+    return dg.histogram(dg.with_class(_population(w)), dg.HOURS, "clase")
+
+
+@query
+def sample_summary(w: Warehouse) -> DataFrame:
+    rows = dg.with_class(_population(w)).select("logistic_order_id", "clase", dg.HOURS)
+    return dg.sample_summary(dg.sample_per_class(rows, "clase", "logistic_order_id", 1000), dg.HOURS, "clase")
+
+
+@query
+def sla_validity(w: Warehouse) -> DataFrame:
+    return dg.sla_validity(_population(w))
+
+
+@query
+def sla_by_category(w: Warehouse) -> DataFrame:
+    return dg.sla_by_category(_population(w))
+
+
+@query
+def sla_top_sellers(w: Warehouse) -> DataFrame:
+    return dg.sla_top_sellers(_population(w))
+
+
+@query
+def sla_filter_impact(w: Warehouse) -> DataFrame:
+    return dg.sla_filter_impact(_population(w))
+
+
+@query
+def deviation_buckets(w: Warehouse) -> DataFrame:
+    return dg.deviation_buckets(_population(w))
+
+
+# --- lookups -------------------------------------------------------------------------
+
+
+def _keys(w: Warehouse) -> DataFrame:
+    return B.new_order_requests(w.dataset, w.orders).select("seller_id", "service_category").distinct()
+
+
+@query
+def seller_history(w: Warehouse) -> DataFrame:
+    return lk.history_lookup(_keys(w), w.dataset_with_history)
+
+
+@query
+def failing_legs(w: Warehouse) -> DataFrame:
+    return lk.failing_legs(_keys(w), w.disruptions)
+
+
+@query
+def order_journey(w: Warehouse) -> DataFrame:
+    return lk.journey(w.package_events)
+
+
+@query
+def package_journeys(w: Warehouse) -> DataFrame:
+    return lk.package_summary(lk.journey(w.package_events))
+
+
+@query
+def order_360(w: Warehouse) -> DataFrame:
+    history = _rounded(w.history, *ft.RATES)
+    return lk.order_360(w.dataset, history, w.disruptions, lk.event_digest(w.package_events))
+
+
+@query
+def order_events_until(w: Warehouse) -> DataFrame:
+    """Base row of each order with its events up to a moment, as counts and last time."""
+    seen = lk.events_until(w.package_events, "2024-01-12 00:00:00").groupBy("logistic_order_id").agg(
+        F.count(F.lit(1)).alias("n_eventos"), F.max("event_dt").alias("ultimo_evento")
+    )
+    base = lk.order_base(w.dataset, _rounded(w.history, *ft.RATES), w.disruptions)
+    return base.join(seen, "logistic_order_id", "left")
+
+
+@query
+def rate_by_calendar(w: Warehouse) -> DataFrame:
+    return lk.rate_by_calendar(w.dataset, "3-MEDIUM")
+
+
+# --- models --------------------------------------------------------------------------
+
+# Small trees: the registered queries show the operators, not the best model.
+QUICK = ml.TreeSettings(rounds=5, step=0.1, depth=4, min_rows=20)
+LEG_CLASSES = ("deposito_despacho", "sin_disrupcion", "ultima_milla")
+BY_ORDER = ["logistic_order_id", "year_month", "split_set"]
+
+
+def _risk(w: Warehouse) -> ml.Fitted:
+    """Creation features with history."""
+    def build() -> ml.Fitted:
+        df = w.dataset_with_history
+        numeric = [*S.CREATION_NUMERIC, *S.HISTORY_NUMERIC]
+        enc = ml.fit_encoder(readers.read_features(df, "train"), numeric, ["service_category", "franja_horaria"])
+        return ml.fit_risk(df, enc, QUICK)
+
+    return w.model("risk", build)
+
+
+def _flow_risk(w: Warehouse) -> ml.Fitted:
+    """Creation features, history and event flow."""
+    def build() -> ml.Fitted:
+        df = staged(w.dataset_with_flow, "flow-dataset")
+        numeric = [*S.CREATION_NUMERIC, *S.HISTORY_NUMERIC, *S.FLOW_NUMERIC]
+        enc = ml.fit_encoder(readers.read_features(df, "train"), numeric, S.FLOW_CATEGORICAL)
+        return ml.fit_risk(df, enc, QUICK)
+
+    return w.model("flow-risk", build)
+
+
+@query
+def encode_features(w: Warehouse) -> DataFrame:
+    """Labels learned from one month only, so that later values fall to the unknown label."""
+    enc = ml.fit_encoder(
+        w.train, S.CREATION_NUMERIC, ["service_category", "source_order_type", "seller_id", "created_by"],
+        months=["1995-02"],
+    )
+    coded = ml.encode(w.dataset, enc, ["logistic_order_id"])
+    return coded.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in S.CREATION_NUMERIC})
+
+
+@query
+def class_weights(w: Warehouse) -> DataFrame:
+    return ml.class_weights(w.train.withColumn("clase", ft.leg_class(F.col("target_tramo"))), "clase")
+
+
+@query
+def classifier_scores(w: Warehouse) -> DataFrame:
+    return ml.predictions(_risk(w), w.dataset_with_history)
+
+
+@query
+def flow_classifier_scores(w: Warehouse) -> DataFrame:
+    return ml.predictions(_flow_risk(w), w.dataset_with_flow)
+
+
+@query
+def classifier_quality(w: Warehouse) -> DataFrame:
+    """Metrics of both trained classifiers side by side."""
+    a = staged(ml.predictions(_risk(w), w.dataset_with_history), "scores")
+    b = staged(ml.predictions(_flow_risk(w), w.dataset_with_flow), "scores")
+    return ev.compare({"creacion": ev.binary_metrics(a), "flujo": ev.binary_metrics(b)})
+
+
+@query
+def leg_scores(w: Warehouse) -> DataFrame:
+    legs = ["hours_deposito", "hours_despacho", "hours_ultima_milla"]
+    rows = ft.leg_population(w.dataset, w.orders, legs).withColumn("clase", ft.leg_class(F.col("target_tramo")))
+    rows = staged(rows, "leg-rows")
+    enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
+    fitted = ml.fit_leg(rows, enc, "clase", LEG_CLASSES, QUICK)
+    return ml.leg_predictions(fitted, rows, [*BY_ORDER, "clase"])
+
+
+def _hours(w: Warehouse, target: str, with_sla: bool) -> DataFrame:
+    rows = ft.hours_population(w.dataset)
+    numeric = [c for c in S.CREATION_NUMERIC if with_sla or c != "sla_horas_prometidas"]
+    enc = ml.fit_encoder(readers.read_features(rows, "train"), numeric, ["service_category", "source_order_type"])
+    offset = ml.DEVIATION_OFFSET if target == "desvio_sla" else 0.0
+    fitted = ml.fit_hours(rows, enc, target, offset, QUICK)
+    return ml.hours_predictions(fitted, rows.withColumn("horas", F.col(target)), [*BY_ORDER, "horas"])
+
+
+@query
+def hours_regression(w: Warehouse) -> DataFrame:
+    return _hours(w, "target_horas_totales", with_sla=True)
+
+
+@query
+def experiment_grid(w: Warehouse) -> DataFrame:
+    """Target and SLA feature varied; a finished experiment is read, not fitted again."""
+    path = new_folder(w.spark, "experiments")
+    grid = {"reg_v2a": ("desvio_sla", True), "reg_v2b": ("desvio_sla", False), "reg_v2c": ("target_horas_totales", False)}
+    for name in [*grid, "reg_v2a"]:
+        target, with_sla = grid[name]
+        sinks.run_once(
+            w.spark, path, name, lambda target=target, with_sla=with_sla: ev.regression_report(_hours(w, target, with_sla))
+        )
+    return w.spark.read.parquet(path)
+
+
+@query
+def feature_importance(w: Warehouse) -> DataFrame:
+    return ml.importance(_risk(w), w.dataset).limit(10)
+
+
+@query
+def score_new_orders(w: Warehouse) -> DataFrame:
+    return sc.score_new_orders(B.new_order_requests(w.dataset, w.orders), w.dataset_with_history, _risk(w))
+
+
+@query
+def new_order_features(w: Warehouse) -> DataFrame:
+    df = sc.new_order_features(B.new_order_requests(w.dataset, w.orders), w.dataset_with_history)
+    return df.select(
+        "pedido", "fuente", "dia_semana_creacion", "hora_creacion", "dia_mes_creacion", "franja_horaria",
+        "sla_horas_prometidas", "n_ordenes", *S.HISTORY_NUMERIC,
+    )
+
+
+@query
+def score_itineraries(w: Warehouse) -> DataFrame:
+    return sc.score_itineraries(B.itineraries(w.orders), w.dataset_with_history, _flow_risk(w))
+
+
+# --- evaluation ----------------------------------------------------------------------
+
+
+def _predictions(w: Warehouse, factor: int = 7919) -> DataFrame:
+    return B.stand_in_predictions(w.dataset, factor)
+
+
+@query
+def confusion(w: Warehouse) -> DataFrame:
+    return ev.confusion(_predictions(w))
+
+
+@query
+def confusion_matrix(w: Warehouse) -> DataFrame:
+    return ev.confusion_matrix(_predictions(w), [0, 1])
+
+
+@query
+def class_report(w: Warehouse) -> DataFrame:
+    return ev.class_report(_predictions(w))
+
+
+@query
+def roc_auc(w: Warehouse) -> DataFrame:
+    return ev.roc_auc(_predictions(w))
+
+
+@query
+def avg_precision(w: Warehouse) -> DataFrame:
+    return ev.avg_precision(_predictions(w))
+
+
+@query
+def regression_metrics(w: Warehouse) -> DataFrame:
+    return ev.regression_report(_predictions(w))
+
+
+@query
+def risk_shares(w: Warehouse) -> DataFrame:
+    return ev.risk_shares(_predictions(w))
+
+
+@query
+def split_report(w: Warehouse) -> DataFrame:
+    return ev.split_report(_predictions(w))
+
+
+@query
+def split_sizes(w: Warehouse) -> DataFrame:
+    return ev.split_sizes(w.dataset)
+
+
+@query
+def category_report(w: Warehouse) -> DataFrame:
+    return ev.category_report(_predictions(w))
+
+
+@query
+def version_delta(w: Warehouse) -> DataFrame:
+    return ev.compare({
+        "v1": ev.binary_metrics(_predictions(w)), "v2": ev.binary_metrics(_predictions(w, 104729)),
+    })
+
+
+@query
+def class_distribution(w: Warehouse) -> DataFrame:
+    return ev.class_distribution(w.dataset, ft.leg_class(F.col("target_tramo")))
+
+
+# --- replay --------------------------------------------------------------------------
+
+
+@query
+def status_changes(w: Warehouse) -> DataFrame:
+    return rp.status_changes(w.package_events)
+
+
+@query
+def prefix_features(w: Warehouse) -> DataFrame:
+    return _rounded(rp.prefix_features(w.package_events), *FLOW_HOURS)
+
+
+def _scored(w: Warehouse) -> DataFrame:
+    return rp.prefix_features(w.package_events).withColumn("prob", rp.stand_in_risk())
+
+
+@query
+def first_alert(w: Warehouse) -> DataFrame:
+    return rp.first_alert(_scored(w))
+
+
+@query
+def replay_summary(w: Warehouse) -> DataFrame:
+    return rp.replay_summary(_scored(w), rp.order_outcomes(w.dataset, w.disruptions))
+
+
+@query
+def replay_with_model(w: Warehouse) -> DataFrame:
+    """The flow model's risk at every status change of every order with events."""
+    known = w.dataset_with_history.drop("year_month")
+    rows = rp.prefix_features(w.package_events).join(known, "logistic_order_id")
+    keep = ["logistic_order_id", "n_hito", "event_dt", "package_status", "n_hito_eventos"]
+    return ml.score(_flow_risk(w), rows.withColumn("n_hito_eventos", F.col("n_eventos_total")), keep)

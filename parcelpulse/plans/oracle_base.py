@@ -234,6 +234,270 @@ LAYERS["disruptions"] = """
 """
 
 
+# --- package status log ---
+
+LAYERS["status_log"] = """
+    SELECT CAST(user_id AS VARCHAR) AS logistic_order_id, 'sh-' || user_id AS shipment_id,
+           CASE WHEN event_id % 97 <> 0 THEN user_id || '-' || (event_id % 3) END AS package_id,
+           event_type, ts AS event_dt,
+           CASE event_type WHEN 'signup' THEN 'SHIPMENT_CONFIRMED' WHEN 'view' THEN 'IN_TRANSIT'
+                WHEN 'click' THEN 'OUT_FOR_DELIVERY' WHEN 'error' THEN 'DELIVERY_ATTEMPTED'
+                WHEN 'purchase' THEN 'EXCEPTION' END AS package_status,
+           props AS promised_date, strftime(ts, '%Y-%m') AS year_month, event_id
+    FROM events
+"""
+
+LAYERS["gaps"] = f"""
+    SELECT *, {hours('lag(event_dt) OVER (PARTITION BY logistic_order_id ORDER BY event_dt, event_id)', 'event_dt')} AS gap,
+           first_value(event_dt) OVER (PARTITION BY logistic_order_id ORDER BY event_dt, event_id) AS t0
+    FROM status_log
+"""
+
+
+def _flow(prefix: str = "") -> str:
+    """Flow features over the rows of a group of ``gaps``."""
+    reached = ", ".join(
+        f"coalesce(min({hours('t0', prefix + 'event_dt')}) FILTER (WHERE {prefix}package_status = '{s}'), -1.0) AS {n}"
+        for n, s in (("horas_a_shipment_confirmed", "SHIPMENT_CONFIRMED"), ("horas_a_out_for_delivery", "OUT_FOR_DELIVERY"))
+    )
+    last = f"arg_max({prefix}package_status, ({prefix}event_dt, {prefix}event_id))"
+    ever = ", ".join(
+        f"CAST(coalesce(bool_or({prefix}package_status = '{s}'), false) AS INTEGER) AS {n}"
+        for n, s in (("tuvo_delivery_attempted", "DELIVERY_ATTEMPTED"), ("tuvo_exception", "EXCEPTION"),
+                     ("tuvo_annulled", "ANNULLED"))
+    )
+    now = ", ".join(
+        f"CAST({last} = '{s}' AS INTEGER) AS {n}"
+        for n, s in (("esta_en_transito", "IN_TRANSIT"), ("esta_out_for_delivery", "OUT_FOR_DELIVERY"),
+                     ("esta_shipment_confirmed", "SHIPMENT_CONFIRMED"))
+    )
+    return f"""{reached}, coalesce(max({prefix}gap), 0.0) AS horas_entre_eventos_max,
+           coalesce(avg({prefix}gap), 0.0) AS horas_entre_eventos_avg, count(*) AS n_eventos_total,
+           count(DISTINCT {prefix}package_status) AS n_estados_distintos, {ever}, {now}, {last} AS ultimo_estado"""
+
+
+LAYERS["flows"] = f"SELECT logistic_order_id, {_flow()} FROM gaps GROUP BY 1"
+
+# --- carriers, from the columns rather than from the JSON ---
+
+LAYERS["carrier_rows"] = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS logistic_order_id, l_linenumber AS n1, l_partkey AS n2, l_suppkey AS n3,
+           'S' || (l_suppkey % 6) AS carrier_code,
+           CASE WHEN l_partkey % 4 <> 0 THEN 'Carrier ' || (l_suppkey % 6) ELSE 'S' || (l_suppkey % 6) END AS carrier_name,
+           year_month
+    FROM base_lines
+    WHERE l_linestatus = 'F' AND country = 'CL' AND l_linenumber <> 1 AND l_partkey % 101 <> 0
+"""
+
+LAYERS["carrier_counts"] = """
+    SELECT logistic_order_id, carrier_code, count(*) AS n, min((n1, n2, n3, carrier_code, carrier_name)) AS first_seen,
+           arg_min(carrier_name, (n1, n2, n3, carrier_code, carrier_name)) AS carrier_name, min(year_month) AS year_month
+    FROM carrier_rows GROUP BY 1, 2
+"""
+
+LAYERS["order_carriers"] = """
+    SELECT logistic_order_id, arg_min(carrier_code, (-n, first_seen)) AS carrier_code,
+           arg_min(carrier_name, (-n, first_seen)) AS carrier_name, min(year_month) AS year_month,
+           CAST(sum(n) AS BIGINT) AS n_envelopes
+    FROM carrier_counts GROUP BY 1
+"""
+
+# --- feature tables ---
+
+LAYERS["ml"] = f"""
+    SELECT logistic_order_id, year_month,
+           CASE WHEN year_month < '2000-01' THEN 'train' WHEN year_month < '2001-01' THEN 'val' ELSE 'test' END AS split_set,
+           CAST(is_click_and_collect AS INTEGER) AS is_click_and_collect,
+           CAST(is_high_season AS INTEGER) AS is_high_season, CAST(has_insurance AS INTEGER) AS has_insurance,
+           total_items, distinct_skus, dayofweek(created_at) AS dia_semana_creacion,
+           hour(created_at) AS hora_creacion, day(created_at) AS dia_mes_creacion,
+           {hours('created_at', 'promised_date_to')} AS sla_horas_prometidas,
+           service_category, source_order_type, seller_id, created_by,
+           CASE WHEN hour(created_at) BETWEEN 6 AND 11 THEN 'manana' WHEN hour(created_at) BETWEEN 12 AND 19 THEN 'tarde'
+                WHEN created_at IS NOT NULL THEN 'madrugada' END AS franja_horaria,
+           CAST(is_disrupted AS INTEGER) AS target_binario, tramo_disruptivo AS target_tramo,
+           actor_responsable AS target_actor, hours_total AS target_horas_totales,
+           CAST(hours_total IS NOT NULL AS INTEGER) AS ciclo_completo
+    FROM fact
+"""
+
+
+def _rate(name: str, keys: str, extra: str = "") -> None:
+    present = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    LAYERS[name] = f"""
+    SELECT {keys}, {extra} avg(target_binario) AS rate FROM ml WHERE split_set = 'train' AND {present} GROUP BY {keys}
+"""
+
+
+_rate("rate_seller", "seller_id", "count(*) AS volume,")
+_rate("rate_category", "service_category")
+_rate("rate_category_cac", "service_category, is_click_and_collect")
+_rate("rate_day", "dia_semana_creacion")
+_rate("rate_band", "franja_horaria")
+
+LAYERS["hist"] = """
+    SELECT m.logistic_order_id, m.year_month, s.volume AS seller_n_ordenes, m.franja_horaria,
+           s.rate AS seller_tasa_disrupcion, c.rate AS categoria_tasa_disrupcion,
+           cc.rate AS categoria_cac_tasa_disrupcion, d.rate AS dia_semana_tasa_disrupcion,
+           b.rate AS franja_tasa_disrupcion
+    FROM ml m
+    LEFT JOIN rate_seller s ON s.seller_id = m.seller_id
+    LEFT JOIN rate_category c ON c.service_category = m.service_category
+    LEFT JOIN rate_category_cac cc ON cc.service_category = m.service_category
+         AND cc.is_click_and_collect = m.is_click_and_collect
+    LEFT JOIN rate_day d ON d.dia_semana_creacion = m.dia_semana_creacion
+    LEFT JOIN rate_band b ON b.franja_horaria = m.franja_horaria
+"""
+
+LAYERS["pop"] = """
+    SELECT *, CASE target_binario WHEN 0 THEN 'OK' WHEN 1 THEN 'DISRUPTED' END AS clase,
+           coalesce(service_category, '(NULL)') AS category, target_horas_totales - sla_horas_prometidas AS desvio
+    FROM ml WHERE ciclo_completo = 1 AND target_horas_totales > 0
+"""
+
+LAYERS["sampled"] = """
+    SELECT logistic_order_id, clase, target_horas_totales FROM pop
+    QUALIFY row_number() OVER (PARTITION BY clase ORDER BY md5('42:' || logistic_order_id), logistic_order_id) <= 1000
+"""
+
+LAYERS["requests"] = """
+    SELECT m.logistic_order_id AS pedido,
+           CASE WHEN CAST(m.logistic_order_id AS BIGINT) % 7 = 0 THEN 'nuevo-' || m.seller_id ELSE m.seller_id END AS seller_id,
+           CASE WHEN CAST(m.logistic_order_id AS BIGINT) % 35 = 0 THEN 'CATEGORIA NUEVA' ELSE m.service_category END
+               AS service_category,
+           f.created_at, m.sla_horas_prometidas AS sla_horas
+    FROM ml m JOIN fact f ON f.logistic_order_id = m.logistic_order_id AND f.year_month = m.year_month
+    WHERE m.split_set = 'test'
+"""
+
+LAYERS["hist_rows"] = """
+    SELECT m.seller_id, m.service_category, h.seller_tasa_disrupcion AS seller_tasa, h.categoria_tasa_disrupcion AS cat_tasa,
+           h.categoria_cac_tasa_disrupcion AS cat_cac_tasa, h.dia_semana_tasa_disrupcion AS dia_tasa,
+           h.franja_tasa_disrupcion AS franja_tasa, h.seller_n_ordenes
+    FROM ml m JOIN hist h ON h.logistic_order_id = m.logistic_order_id AND h.year_month = m.year_month
+"""
+
+LAYERS["hist_pair"] = """
+    SELECT seller_id, service_category, count(*) AS n, avg(seller_tasa) AS seller_tasa, avg(cat_tasa) AS cat_tasa,
+           avg(cat_cac_tasa) AS cat_cac_tasa, avg(dia_tasa) AS dia_tasa, avg(franja_tasa) AS franja_tasa,
+           max(seller_n_ordenes) AS seller_n
+    FROM hist_rows WHERE seller_id IS NOT NULL GROUP BY 1, 2
+"""
+
+LAYERS["hist_category"] = """
+    SELECT service_category, count(*) AS n, avg(cat_tasa) AS cat_tasa, avg(cat_cac_tasa) AS cat_cac_tasa
+    FROM hist_rows GROUP BY 1
+"""
+
+LAYERS["looked_up"] = """
+    SELECT r.*, CASE WHEN p.n IS NOT NULL THEN 'seller+category' WHEN c.n IS NOT NULL THEN 'category' ELSE 'global' END AS fuente,
+           coalesce(p.n, c.n, 0) AS n_ordenes,
+           round(CASE WHEN p.n IS NOT NULL THEN coalesce(p.seller_tasa, 0.4) WHEN c.n IS NOT NULL THEN 0.4 ELSE 0.39 END, 6)
+               AS seller_tasa,
+           round(CASE WHEN p.n IS NOT NULL THEN coalesce(p.cat_tasa, 0.4) WHEN c.n IS NOT NULL THEN coalesce(c.cat_tasa, 0.4)
+                      ELSE 0.39 END, 6) AS cat_tasa,
+           round(CASE WHEN p.n IS NOT NULL THEN coalesce(p.cat_cac_tasa, 0.4)
+                      WHEN c.n IS NOT NULL THEN coalesce(c.cat_cac_tasa, 0.4) ELSE 0.39 END, 6) AS cat_cac_tasa,
+           round(CASE WHEN p.n IS NOT NULL THEN coalesce(p.dia_tasa, 0.4) ELSE 0.42 END, 6) AS dia_tasa,
+           round(CASE WHEN p.n IS NOT NULL THEN coalesce(p.franja_tasa, 0.4) ELSE 0.4 END, 6) AS franja_tasa,
+           coalesce(p.seller_n, 0) AS seller_n_ordenes
+    FROM requests r
+    LEFT JOIN hist_pair p ON p.seller_id = r.seller_id AND p.service_category = r.service_category
+    LEFT JOIN hist_category c ON c.service_category = r.service_category
+"""
+
+LAYERS["broken_pair"] = """
+    SELECT seller_id, service_category, tramo_disruptivo, actor_responsable, count(*) AS n
+    FROM disruptions WHERE tramo_disruptivo <> 'sin_disrupcion' GROUP BY ALL
+"""
+
+LAYERS["broken_category"] = """
+    SELECT service_category, tramo_disruptivo, actor_responsable, count(*) AS n
+    FROM disruptions WHERE tramo_disruptivo <> 'sin_disrupcion' GROUP BY ALL
+"""
+
+# --- predictions without a model ---
+
+LAYERS["scored"] = """
+    SELECT *, CAST(p1 >= 500 AS INTEGER) AS pred, CAST(p2 >= 500 AS INTEGER) AS pred2, p1 / 1000.0 AS prob,
+           CAST((p1 >= 500) = (target = 1) AS INTEGER) AS hit
+    FROM (SELECT logistic_order_id, split_set, service_category, target_binario AS target,
+                 (CAST(logistic_order_id AS BIGINT) * 7919) % 1000 AS p1,
+                 (CAST(logistic_order_id AS BIGINT) * 104729) % 1000 AS p2,
+                 target_horas_totales AS horas,
+                 CASE WHEN CAST(logistic_order_id AS BIGINT) % 101 = 0 THEN CAST('nan' AS DOUBLE)
+                      ELSE target_horas_totales + (CAST(logistic_order_id AS BIGINT) % 97 - 48) END AS horas_pred
+          FROM ml)
+"""
+
+
+def _class_layers(suffix: str, pred: str) -> None:
+    LAYERS[f"class_sums{suffix}"] = f"""
+    SELECT split_set, c.clase, count(*) FILTER (WHERE target = c.clase AND {pred} = c.clase) AS tp,
+           count(*) FILTER (WHERE target = c.clase) AS support, count(*) FILTER (WHERE {pred} = c.clase) AS predicted
+    FROM scored, (VALUES (0), (1)) c(clase) GROUP BY 1, 2
+"""
+    LAYERS[f"class_prf{suffix}"] = f"""
+    SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f
+    FROM (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS p,
+                 CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r FROM class_sums{suffix})
+"""
+
+
+_class_layers("", "pred")
+_class_layers("2", "pred2")
+
+
+def _auc_layer(name: str, score: str) -> None:
+    LAYERS[name] = f"""
+    SELECT split_set, any_value(np) AS n_pos, any_value(nn) AS n_neg,
+           (sum(rk) FILTER (WHERE target = 1) - any_value(np) * (any_value(np) + 1) / 2.0)
+               / (any_value(np) * any_value(nn)) AS auc
+    FROM (SELECT split_set, target,
+                 rank() OVER (PARTITION BY split_set ORDER BY {score})
+                     + (count(*) OVER (PARTITION BY split_set, {score}) - 1) / 2.0 AS rk,
+                 count(*) FILTER (WHERE target = 1) OVER (PARTITION BY split_set) AS np,
+                 count(*) FILTER (WHERE target = 0) OVER (PARTITION BY split_set) AS nn
+          FROM scored) GROUP BY 1
+"""
+
+
+_auc_layer("auc1", "p1")
+_auc_layer("auc2", "p2")
+
+# --- replay ---
+
+LAYERS["stones_of_status"] = f"""
+    SELECT *, {hours('lag(event_dt) OVER (PARTITION BY logistic_order_id ORDER BY event_dt, tie)', 'event_dt')} AS since,
+           row_number() OVER (PARTITION BY logistic_order_id ORDER BY event_dt, tie) AS n_hito
+    FROM (SELECT *, lag(package_status) OVER (PARTITION BY logistic_order_id ORDER BY event_dt, tie) AS prev
+          FROM (SELECT logistic_order_id, event_dt, package_status, min(event_id) AS tie FROM status_log GROUP BY 1, 2, 3))
+    WHERE package_status IS DISTINCT FROM prev
+"""
+
+LAYERS["prefixes"] = f"""
+    SELECT m.logistic_order_id, m.n_hito, any_value(m.event_dt) AS event_dt, any_value(m.package_status) AS package_status,
+           any_value(m.since) AS since, {_flow('g.')}
+    FROM stones_of_status m JOIN gaps g ON g.logistic_order_id = m.logistic_order_id AND g.event_dt <= m.event_dt
+    GROUP BY 1, 2
+"""
+
+LAYERS["risk_path"] = """
+    SELECT *, round(least(1.0, n_estados_distintos * 0.12 + tuvo_delivery_attempted * 0.2 + tuvo_exception * 0.15
+                          + least(horas_entre_eventos_max, 100.0) / 1000.0), 4) AS prob
+    FROM prefixes
+"""
+
+LAYERS["alerts"] = """
+    SELECT logistic_order_id, max(n_hito) AS n_hitos, min(n_hito) FILTER (WHERE prob >= 0.7) AS alerta_hito,
+           arg_min(event_dt, n_hito) FILTER (WHERE prob >= 0.7) AS alerta_en,
+           arg_min(package_status, n_hito) FILTER (WHERE prob >= 0.7) AS alerta_estado,
+           arg_min(prob, n_hito) FILTER (WHERE prob >= 0.7) AS alerta_prob,
+           arg_max(prob, n_hito) AS prob_final, max(n_eventos_total) AS n_eventos
+    FROM risk_path GROUP BY 1
+"""
+
+
 def with_layers(select: str) -> str:
     """Prepend, in order, every layer that the query names, directly or through another."""
     order = list(LAYERS)
@@ -247,4 +511,7 @@ def with_layers(select: str) -> str:
 
     visit(select)
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({LAYERS[n]})" for n in order if n in needed)
-    return f"WITH {ctes}\n{select}" if ctes else select
+    if not ctes:
+        return select
+    own = select.strip()
+    return f"WITH {ctes},\n{own[5:]}" if own.startswith("WITH ") else f"WITH {ctes}\n{select}"

@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelpulse.operators import baselines as bl
+from parcelpulse.operators import carriers as ca
+from parcelpulse.operators import features as ft
+from parcelpulse.operators import flow
 from parcelpulse.operators import orders as fo
 from parcelpulse.operators import staging as stg
 from parcelpulse.operators import timeline as tl
+from parcelpulse.operators.models import Fitted
 from parcelpulse.session import staged, tune
 from parcelpulse.sources import bindings as B
+from parcelpulse.sources import schemas as S
+from parcelpulse.sources.readers import conform, read_features
 
 _OPEN: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -29,6 +35,8 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.vars = B.VARS
         self._tables: dict[str, DataFrame] = {}
+        self._rates: dict[str, DataFrame] | None = None
+        self._models: dict[str, Fitted] = {}
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
@@ -54,6 +62,11 @@ class Warehouse:
     def package_events(self) -> DataFrame:
         return B.package_events(self.spark, self.sf_dir)
 
+    @property
+    def package_log(self) -> DataFrame:
+        """The raw package log conformed to the columns of the status log."""
+        return conform(B.raw_packages(self.spark, self.sf_dir), S.PACKAGE_EVENTS)
+
     @property
     def timeline(self) -> DataFrame:
         return self.stored(
@@ -76,6 +89,54 @@ class Warehouse:
     def disruptions(self) -> DataFrame:
         return fo.order_disruptions(self.orders)
 
+    @property
+    def dataset(self) -> DataFrame:
+        return ft.ml_dataset(self.orders, B.SPLITS)
+
+    @property
+    def train(self) -> DataFrame:
+        return read_features(self.dataset, split="train")
+
+    @property
+    def rates(self) -> dict[str, DataFrame]:
+        if self._rates is None:
+            self._rates = ft.rate_tables(self.train)
+        return self._rates
+
+    @property
+    def history(self) -> DataFrame:
+        return ft.historical_features(self.dataset, self.rates)
+
+    @property
+    def dataset_with_history(self) -> DataFrame:
+        return self.stored("dataset", lambda: ft.dataset_with_history(self.dataset, self.history))
+
+    @property
+    def flow(self) -> DataFrame:
+        return self.stored("flow", lambda: flow.flow_features(self.package_events))
+
+    @property
+    def dataset_with_flow(self) -> DataFrame:
+        return flow.attach_flow(self.dataset_with_history, self.flow)
+
+    @property
+    def envelopes(self) -> DataFrame:
+        return B.carrier_envelopes(self.spark, self.sf_dir)
+
+    @property
+    def carriers(self) -> DataFrame:
+        """One row per envelope with a carrier: parsing JSON is dear, so it is stored."""
+        return self.stored("carriers", lambda: ca.first_carrier(self.envelopes, self.vars.country))
+
+    @property
+    def carrier_per_order(self) -> DataFrame:
+        return ca.carrier_per_order(self.carriers)
+
+    def model(self, name: str, build: Callable[[], Fitted]) -> Fitted:
+        if name not in self._models:
+            self._models[name] = build()
+        return self._models[name]
+
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of this session and folder; stored tables are kept between calls."""

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelpulse.functions.times import HOUR_MICROS
+from parcelpulse.functions.times import HOUR_MICROS, hours_between
+from parcelpulse.operators.features import SplitRule
 from parcelpulse.sources import schemas as S
 
 # Job variables that fit the dates of these tables.
@@ -18,6 +19,8 @@ VARS = S.JobVars(
     high_season=tuple(f"{y}-{m}" for y in range(1995, 2002) for m in ("06", "10", "11", "12")),
 )
 
+SPLITS = SplitRule(val_from="2000-01", test_from="2001-01")
+
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -226,3 +229,58 @@ def carrier_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "year_month",
         F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("seen"),
     )
+
+
+def stand_in_predictions(dataset: DataFrame, factor: int = 7919) -> DataFrame:
+    """Predictions without a model: many tied probabilities, and hours off by at most two days."""
+    key = F.col("logistic_order_id").cast("long")
+    prob = ((key * factor) % 1000) / 1000.0
+    return dataset.select(
+        "logistic_order_id", "year_month", "split_set", "service_category",
+        prob.cast("decimal(6,4)").alias("prob"),
+        (prob >= 0.5).cast("smallint").alias("pred"),
+        F.col("target_binario").cast("smallint").alias("target"),
+        ((prob >= 0.5).cast("int") == F.col("target_binario")).cast("smallint").alias("hit"),
+        F.col("target_horas_totales").alias("horas"),
+        F.when(key % 101 == 0, F.lit(float("nan")))
+        .otherwise(F.col("target_horas_totales") + (key % 97 - 48)).alias("horas_pred"),
+    )
+
+
+def new_order_requests(dataset: DataFrame, orders: DataFrame) -> DataFrame:
+    """Requests like those for new orders, from the test split; some sellers and categories are new."""
+    key = F.col("logistic_order_id").cast("long")
+    rows = dataset.where(F.col("split_set") == "test").join(
+        orders.select("logistic_order_id", "year_month", "created_at"), ["logistic_order_id", "year_month"]
+    )
+    return rows.select(
+        F.col("logistic_order_id").alias("pedido"),
+        F.when(key % 7 == 0, F.concat(F.lit("nuevo-"), "seller_id")).otherwise(F.col("seller_id")).alias("seller_id"),
+        F.when(key % 35 == 0, "CATEGORIA NUEVA").otherwise(F.col("service_category")).alias("service_category"),
+        F.concat(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("created_at"),
+        F.col("sla_horas_prometidas").alias("sla_horas"),
+        "total_items", "distinct_skus", "is_click_and_collect", "is_high_season", "has_insurance",
+    )
+
+
+def itineraries(orders: DataFrame) -> DataFrame:
+    """Orders with their milestones as an array of (timestamp, estado); every third array is out of order."""
+    def step(column: str, state: str) -> Column:
+        text = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
+        return F.when(
+            F.col(column).isNotNull(),
+            F.struct(F.concat(text, F.lit("Z")).alias("timestamp"), F.lit(state).alias("estado")),
+        )
+
+    ship, move = step("created_at", S.SHIPMENT_CONFIRMED), step("packed_at", S.IN_TRANSIT)
+    out, tried = step("dispatched_at", S.OUT_FOR_DELIVERY), step("completed_at", S.DELIVERY_ATTEMPTED)
+    key = F.col("logistic_order_id").cast("long")
+    steps = F.when(key % 3 == 0, F.array(move, out, ship, tried, out)).otherwise(F.array(ship, move, out, tried))
+    return orders.select(
+        F.col("logistic_order_id").alias("pedido"), "service_category",
+        F.concat(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("created_at"),
+        hours_between(F.col("created_at"), F.col("promised_date_to")).alias("sla_horas"),
+        *[F.col(c).cast("int").alias(c) for c in ("is_click_and_collect", "is_high_season", "has_insurance")],
+        "total_items", "distinct_skus",
+        F.filter(steps, lambda e: e.isNotNull()).alias("eventos"),
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,6 +105,21 @@ def replace_predictions(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "split_set").write.mode("overwrite").partitionBy("split_set").parquet(path)
 
 
+def run_once(spark: SparkSession, path: str, name: str, build: Callable[[], DataFrame]) -> None:
+    """Append the rows of an experiment unless its folder is already there."""
+    done = spark.read.parquet(path).where(F.col("experimento") == name) if _has_parts(spark, path) else None
+    if done is None or done.isEmpty():
+        rows = build().withColumn("experimento", F.lit(name))
+        rows.write.mode("append").partitionBy("experimento").parquet(path)
+
+
+def _has_parts(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
