@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from parcelpulse.functions.times import HOUR_MICROS, hours_between
 from parcelpulse.operators.features import SplitRule
 from parcelpulse.sources import schemas as S
+from parcelpulse.sources.readers import spread
 
 # Job variables that fit the dates of these tables.
 VARS = S.JobVars(
@@ -25,7 +26,7 @@ TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _later(start: Column, hours: Column | int) -> Column:
