@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.text import strip
@@ -12,21 +12,25 @@ from parcelpulse.sources import schemas as S
 
 
 def parse_envelopes(raw: DataFrame) -> DataFrame:
-    """Event type, order and country of the header ('' when unreadable), and the parsed data."""
-    header = F.from_json("header", S.ENVELOPE_HEADER)
-    rest = [c for c in raw.columns if c not in ("header", "data")]
-    return raw.withColumn("__h", header).select(
-        *rest, "data",
-        F.coalesce("__h.eventType", F.lit("")).alias("event_type"),
-        F.coalesce("__h.logisticOrderId", F.lit("")).alias("logistic_order_id"),
-        F.coalesce("__h.country", F.lit("")).alias("country"),
+    """Event type, order and country of the header ('' when unreadable), and the data text.
+
+    The header is parsed once per row: as a generator it is not copied into later filters.
+    """
+    names = ["eventType", "logisticOrderId", "country"]
+    rest = [c for c in raw.columns if c != "header"]
+    parsed = raw.select(*rest, F.json_tuple("header", *names).alias("__e", "__o", "__c"))
+    return parsed.select(
+        *rest,
+        F.coalesce("__e", F.lit("")).alias("event_type"),
+        F.coalesce("__o", F.lit("")).alias("logistic_order_id"),
+        F.coalesce("__c", F.lit("")).alias("country"),
     )
 
 
 def first_carrier(envelopes: DataFrame, country: str | None, event_type: str = S.STATE_CHANGED) -> DataFrame:
     """First non-blank carrier of each envelope in document order; rows without one are left out.
 
-    The rows are filtered on the header before the larger data text is parsed.
+    The rows are filtered on the header before the larger data text is parsed, once per row.
     """
     kept = parse_envelopes(envelopes).where((F.col("event_type") == event_type) & (F.col("logistic_order_id") != ""))
     if country is not None:
@@ -38,16 +42,16 @@ def first_carrier(envelopes: DataFrame, country: str | None, event_type: str = S
             F.coalesce(i["states"], F.array()), lambda s: F.coalesce(s["packagesInfo"], F.array())
         ),
     )))
-    first = F.get(
-        F.filter(packages, lambda p: strip(p["trackingData"]["carrierCode"]) != ""), F.lit(0)
-    )["trackingData"]
-    return (
-        kept.withColumn("__c", first)
-        .withColumn("carrier_code", strip(F.col("__c.carrierCode")))
-        .withColumn("carrier_name", strip(F.coalesce("__c.carrierName", "__c.carrierCode")))
-        .where(F.col("carrier_code").isNotNull())
-        .drop("__c", "data")
+    named = F.filter(packages, lambda p: strip(p["trackingData"]["carrierCode"]) != "")
+    carrier = F.transform(
+        F.slice(named, 1, 1),
+        lambda p: F.struct(
+            strip(p["trackingData"]["carrierCode"]).alias("carrier_code"),
+            strip(F.coalesce(p["trackingData"]["carrierName"], p["trackingData"]["carrierCode"])).alias("carrier_name"),
+        ),
     )
+    rest = [c for c in kept.columns if c != "data"]
+    return kept.select(*rest, F.inline(carrier))
 
 
 def carrier_per_order(
@@ -98,6 +102,8 @@ def carrier_coverage(base: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def top_carriers(per_order: DataFrame, k: int = 10) -> DataFrame:
-    """The k carriers with most orders."""
+    """The k carriers with most orders, and the number of all orders with a carrier."""
     counts = per_order.groupBy("carrier_code", "carrier_name").agg(F.count(F.lit(1)).alias("n"))
+    # one row per carrier reaches this window
+    counts = counts.withColumn("n_total", F.sum("n").over(Window.partitionBy(F.lit(1))))
     return counts.orderBy(F.col("n").desc(), "carrier_code", F.col("carrier_name").asc_nulls_first()).limit(k)

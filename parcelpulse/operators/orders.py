@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelpulse.functions.ordered import most_frequent
 from parcelpulse.operators.baselines import LEGS
 
 NO_LEG = "sin_disrupcion"
@@ -14,28 +13,33 @@ NO_LEG = "sin_disrupcion"
 def item_summary(items: DataFrame) -> DataFrame:
     """Main seller and SKU, item totals, insurance and distinct SKUs of each order.
 
-    Lines are first combined per (order, sku, seller), so that an order with very many
-    lines is spread over tasks; all four outputs come from these partial rows.
+    Every line counts once for its SKU and once for its seller. Lines are combined per
+    (order, SKU) and (order, seller) first, so that an order with very many lines is
+    spread over tasks; one more aggregation per order gives all outputs.
     """
-    part = items.groupBy("logistic_order_id", "sku", "seller_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("quantity_number").alias("quantity"),
-        F.bool_or("has_insurance").alias("insured"),
+    sides = F.array(
+        F.struct(F.lit("sku").alias("side"), F.col("sku").alias("value"),
+                 F.col("quantity_number").alias("quantity"), F.col("has_insurance").alias("insured")),
+        F.struct(F.lit("seller").alias("side"), F.col("seller_id").alias("value"),
+                 F.lit(None).cast("double").alias("quantity"), F.lit(None).cast("boolean").alias("insured")),
     )
-    key = ["logistic_order_id"]
-    skus = part.groupBy(*key, "sku").agg(
-        F.sum("n").alias("n"), F.sum("quantity").alias("quantity"), F.bool_or("insured").alias("insured")
-    )
-    totals = skus.groupBy(*key).agg(
-        F.min_by(F.when(F.col("sku").isNotNull(), F.col("sku")),
-                 F.when(F.col("sku").isNotNull(), F.struct(-F.col("n"), F.col("sku")))).alias("main_sku"),
-        F.sum("quantity").alias("total_items"),
-        F.bool_or("insured").alias("has_insurance"),
-        F.count("sku").alias("distinct_skus"),
+    part = (
+        items.select("logistic_order_id", F.explode(sides).alias("s"))
+        .groupBy("logistic_order_id", F.col("s.side").alias("side"), F.col("s.value").alias("value"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum("s.quantity").alias("quantity"), F.bool_or("s.insured").alias("insured")
+        )
     )
-    sellers = most_frequent(part, key, "seller_id", weight="n").withColumnRenamed("seller_id", "main_seller_id")
-    return totals.join(sellers, key, "left").select(
-        *key, "main_seller_id", "main_sku", "total_items", "has_insurance", "distinct_skus"
+
+    def mode(side: str) -> Column:
+        """Most frequent value, ties to the smallest; NULL does not count."""
+        counted = (F.col("side") == side) & F.col("value").isNotNull()
+        return F.min_by("value", F.when(counted, F.struct(-F.col("n"), F.col("value"))))
+
+    return part.groupBy("logistic_order_id").agg(
+        mode("seller").alias("main_seller_id"), mode("sku").alias("main_sku"),
+        F.sum("quantity").alias("total_items"), F.bool_or("insured").alias("has_insurance"),
+        F.count_if((F.col("side") == "sku") & F.col("value").isNotNull()).alias("distinct_skus"),
     )
 
 

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelpulse.functions.joins import null_safe_join
 from parcelpulse.functions.times import hours_between, parse_time
+from parcelpulse.session import staged
 from parcelpulse.sources import schemas as S
 
 ORDER_KEYS = ("logistic_order_id", "source_order_type", "fulfillment_order_type", "year_month")
@@ -45,12 +47,15 @@ def milestones(
 
     The log is first combined per (key, type, state, actor) with fixed-width buffers
     only, which hash-aggregates on the map side and spreads a key with very many
-    events. Text maxima and distinct counts then work on these few rows.
+    events. The distinct counts are a second, narrow aggregation of the same rows:
+    together with the milestones they would copy every wide row three times. The rows
+    are stored between, so that the log is read once.
     """
     traits = ["event_type", "order_state", "executed_by"]
     part = events.groupBy(*keys, *traits).agg(
         F.min("event_at").alias("first_at"), F.max("event_at").alias("last_at"), F.count(F.lit(1)).alias("n")
     )
+    part = staged(part, "order-traits")
     out: list[Column] = []
     for m in spec:
         hit = F.col(m.column) == m.value
@@ -58,15 +63,18 @@ def milestones(
         out.append(at.alias(f"{m.name}_at"))
         if m.actor:
             out.append(F.max(F.when(hit, F.col("executed_by"))).alias(f"{m.name}_by"))
-    return part.groupBy(*keys).agg(
+    wide = part.groupBy(*keys).agg(
         *out,
         F.max("last_at").alias("last_event_at"),
         F.max("order_state").alias("last_state"),
         F.max_by("order_state", F.struct("last_at", "order_state")).alias("last_state_in_time"),
         F.sum("n").alias("total_events"),
+    )
+    distinct = part.groupBy(*keys).agg(
         F.count_distinct("executed_by").alias("total_actors"),
         F.count_distinct("event_type").alias("total_event_types"),
     )
+    return null_safe_join(wide, distinct, list(keys))
 
 
 def promise_per_order(packages: DataFrame) -> DataFrame:

@@ -188,7 +188,8 @@ _SQL: dict[str, str] = {
                round(100.0 * CAST(count(c.carrier_code) AS DOUBLE) / count(*), 2) AS pct_known
         FROM ml LEFT JOIN order_carriers c ON c.logistic_order_id = ml.logistic_order_id GROUP BY 1""",
     "top_carriers": """
-        SELECT carrier_code, carrier_name, count(*) AS n FROM order_carriers GROUP BY 1, 2
+        SELECT carrier_code, carrier_name, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS n_total
+        FROM order_carriers GROUP BY 1, 2
         ORDER BY n DESC, carrier_code, carrier_name LIMIT 10""",
     "carrier_search": """
         SELECT carrier_code AS carrier, year_month, count(*) AS n FROM carrier_rows WHERE carrier_code = 'S3' GROUP BY 1, 2""",
@@ -358,6 +359,25 @@ _SQL: dict[str, str] = {
                          round(sum(f * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM class_prf GROUP BY 1
         UNION ALL SELECT split_set, 'accuracy', round(sum(tp) / sum(support), 4), round(sum(tp) / sum(support), 4),
                          round(sum(tp) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM class_prf GROUP BY 1""",
+    "leg_class_report": """
+        WITH legs AS (SELECT split_set, label, ['deposito_despacho', 'sin_disrupcion', 'ultima_milla'][k % 3 + 1] AS pred
+                      FROM (SELECT split_set, CAST(logistic_order_id AS BIGINT) AS k,
+                                   CASE WHEN target_tramo = 'ultima_milla' THEN 'ultima_milla'
+                                        WHEN target_tramo IN ('deposito', 'despacho') THEN 'deposito_despacho'
+                                        ELSE 'sin_disrupcion' END AS label FROM ml)),
+        sums AS (SELECT split_set, clase, count(*) FILTER (WHERE label = clase AND pred = clase) AS tp,
+                        count(*) FILTER (WHERE label = clase) AS support, count(*) FILTER (WHERE pred = clase) AS predicted
+                 FROM legs, (VALUES ('deposito_despacho'), ('sin_disrupcion'), ('ultima_milla')) c(clase) GROUP BY 1, 2),
+        prf AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f
+                FROM (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS p,
+                             CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r FROM sums))
+        SELECT split_set, clase, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1, support FROM prf
+        UNION ALL SELECT split_set, 'macro avg', round(avg(p), 4), round(avg(r), 4), round(avg(f), 4), CAST(sum(support) AS BIGINT)
+        FROM prf GROUP BY 1
+        UNION ALL SELECT split_set, 'weighted avg', round(sum(p * support) / sum(support), 4), round(sum(r * support) / sum(support), 4),
+                         round(sum(f * support) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM prf GROUP BY 1
+        UNION ALL SELECT split_set, 'accuracy', round(sum(tp) / sum(support), 4), round(sum(tp) / sum(support), 4),
+                         round(sum(tp) / sum(support), 4), CAST(sum(support) AS BIGINT) FROM prf GROUP BY 1""",
     "roc_auc": "SELECT split_set, n_pos, n_neg, round(auc, 6) AS auc FROM auc1",
     "avg_precision": """
         SELECT split_set, CAST(sum(pos) AS BIGINT) AS n_pos, round(sum(pos * cp / cn) / sum(pos), 6) AS avg_precision

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+NARROW_SCAN_SPLITS = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a scan of fewer splits than cores out to all cores.
+    """Deal a scan of very few splits out to all cores.
 
     A table of one file with one row group is read by one task, which would also do
-    everything up to the first shuffle. A large table has more splits than cores and
-    is left as it is.
+    everything up to the first shuffle. The bound keeps the extra exchange to a few
+    gigabytes; a larger table is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, NARROW_SCAN_SPLITS) else df
 
 
 def scan_months(
