@@ -272,7 +272,8 @@ def _flow(prefix: str = "") -> str:
                      ("esta_shipment_confirmed", "SHIPMENT_CONFIRMED"))
     )
     return f"""{reached}, coalesce(max({prefix}gap), 0.0) AS horas_entre_eventos_max,
-           coalesce(avg({prefix}gap), 0.0) AS horas_entre_eventos_avg, count(*) AS n_eventos_total,
+           CASE WHEN count(*) > 1 THEN {hours(f'min({prefix}event_dt)', f'max({prefix}event_dt)')} / (count(*) - 1)
+                ELSE 0.0 END AS horas_entre_eventos_avg, count(*) AS n_eventos_total,
            count(DISTINCT {prefix}package_status) AS n_estados_distintos, {ever}, {now}, {last} AS ultimo_estado"""
 
 
