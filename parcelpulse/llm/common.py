@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import base64
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +22,20 @@ BATCH_CHARS = 1 << 19
 MEMO_WORDS = 300_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package where they would not find it by themselves."""
+    home = Path(__file__).resolve().parents[2]
+    found = {Path(p or ".").resolve() for p in ["", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
+    context = spark.sparkContext
+    if home in found or any(str(f).endswith("/parcelpulse.zip") for f in context.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="parcelpulse-code-")  # of the driver, which serves the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/parcelpulse", "zip", home, "parcelpulse"))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

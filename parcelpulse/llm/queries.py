@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from parcelpulse.llm import url_filter
+import public_tokenizers
+
+from parcelpulse.llm import packing, token_counts, url_filter
 from parcelpulse.llm.common import table
 
 #: The rules of the url query as (host, path, verdict).
@@ -19,6 +20,9 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 
+#: One vocabulary as the tokenizers library's file and as ranks.
+BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -26,8 +30,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), *BYTE_BPE, public_tokenizers.PATTERN)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE[0], public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op6_packing": op6_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
