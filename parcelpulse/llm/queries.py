@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import packing, token_counts, url_filter
+from parcelpulse.llm import bpe_codec, packing, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
+from parcelpulse.session import new_folder
 
 #: The rules of the url query as (host, path, verdict).
 URL_RULES = [
@@ -30,6 +32,24 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), new_folder(spark, "token-store")
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    token_store.write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), 2, folder, shards)
+    return token_store.read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_codec.encode(table(spark, sf_dir, "documents"), BYTE_BPE[1], public_tokenizers.PATTERN)
+    decoded = bpe_codec.decode(encoded, BYTE_BPE[1], public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), *BYTE_BPE, public_tokenizers.PATTERN)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -41,6 +61,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_token_store": op3_token_store,
+    "op5_bpe_codec": op5_bpe_codec,
     "op6_packing": op6_packing,
     "op10_token_counts": op10_token_counts,
 }
