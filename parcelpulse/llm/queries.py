@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import bpe_codec, packing, token_counts, token_store, url_filter
+from parcelpulse.llm import bpe_codec, packing, quality, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
 from parcelpulse.session import new_folder
 
@@ -55,6 +55,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE[0], public_tokenizers.PATTERN)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_packing": op6_packing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
