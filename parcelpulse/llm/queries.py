@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import bpe_codec, packing, quality, token_counts, token_store, url_filter
+from parcelpulse.llm import bpe_codec, packing, pii, quality, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
 from parcelpulse.session import new_folder
 
@@ -39,6 +39,10 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans_digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe_codec.encode(table(spark, sf_dir, "documents"), BYTE_BPE[1], public_tokenizers.PATTERN)
     decoded = bpe_codec.decode(encoded, BYTE_BPE[1], public_tokenizers.PATTERN)
@@ -66,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_token_store": op3_token_store,
+    "op4_pii": op4_pii,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_packing": op6_packing,
     "op9_quality_rules": op9_quality_rules,
