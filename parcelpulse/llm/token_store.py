@@ -132,28 +132,67 @@ def _running(plane: np.ndarray) -> np.ndarray:
 
 
 class WordIds:
-    """Ids of whole texts for a vocabulary that drops white space.
+    """Ids of whole texts for a vocabulary that drops white space and marks the end of a word.
 
     Such a vocabulary never looks across white space, so a text's ids are those of its words one
-    after another, and the library encodes each word once while the worker remembers it.
+    after another, and the library encodes each word once while the worker remembers it. Words in
+    letters go to the library many at a time as one text, whose ids are cut at the marked ends.
     """
 
+    END = "</w>"
+    MARKS = b"!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = "<u2" if len(vocabulary) <= 1 << 16 else "<u4"
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.END)]] = True
         self.memo: dict[bytes, bytes] = {}
 
+    def _one_by_one(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.memo.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(words, found, strict=True))
+
+    def _together(self, words: list[bytes]) -> None:
+        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, self.kind)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words) or (len(ids) and stops[-1] != len(ids)):
+            self._one_by_one(words)  # a letter that the library takes for something else
+            return
+        raw, size = ids.tobytes(), ids.itemsize
+        begin = 0
+        for word, stop in zip(words, (stops * size).tolist(), strict=True):
+            self.memo[word] = raw[begin:stop]
+            begin = stop
+
+    def _learn(self, words: list[bytes]) -> None:
+        letters, marked, rest = set(), [], []
+        for word in words:
+            if word.decode().isalpha():
+                letters.add(word)
+                continue
+            core = word.rstrip(self.MARKS)
+            if core and len(core) < len(word) and core.decode().isalpha():
+                marked.append((word, core, word[len(core) :]))  # marks behind letters are a word of their own
+            else:
+                rest.append(word)
+        letters |= {core for _, core, _ in marked}.difference(self.memo)
+        rest += {marks for _, _, marks in marked}.difference(self.memo)
+        together = list(letters)
+        for run in (together[i : i + 4096] for i in range(0, len(together), 4096)):
+            self._together(run)
+        for run in (rest[i : i + 4096] for i in range(0, len(rest), 4096)):
+            self._one_by_one(run)
+        self.memo.update((word, self.memo[core] + self.memo[marks]) for word, core, marks in marked)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > 4 * MEMO_WORDS:
             self.memo.clear()
         split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words}.difference(self.memo))
-        for at in range(0, len(new), 4096):
-            run = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in run], add_special_tokens=False)
-            self.memo.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(run, found, strict=True))
+        self._learn(list(set().union(*split).difference(self.memo)))
         known = self.memo.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
