@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import bpe_codec, embed_dedup, packing, pii, quality, token_counts, token_store, url_filter
+from parcelpulse.llm import bpe_codec, embed_dedup, minhash, packing, pii, quality, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
 from parcelpulse.session import new_folder
 
@@ -59,6 +59,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_packing": op6_packing,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
