@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import bpe_codec, embed_dedup, minhash, packing, pii, quality, token_counts, token_store, url_filter
+from parcelpulse.llm import bpe_codec, embed_dedup, license_scan, minhash, packing, pii, quality, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
 from parcelpulse.session import new_folder
 
@@ -32,6 +32,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("matches", lambda m: F.struct(m.coverage, m.matched_words, m.license)))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        best.license.alias("license"),
+        best.coverage.alias("coverage"),
+        best.matched_words.alias("matched_words"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws(":", m.license, m.start, m.stop)), ",").alias("spans"),
+    )
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), new_folder(spark, "token-store")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -77,6 +90,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_license_scan": op2_license_scan,
     "op3_token_store": op3_token_store,
     "op4_pii": op4_pii,
     "op5_bpe_codec": op5_bpe_codec,
