@@ -34,9 +34,14 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(shutil.make_archive(f"{folder}/parcelpulse", "zip", home, "parcelpulse"))
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Settings of a session that runs these operators."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
