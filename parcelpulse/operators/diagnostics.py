@@ -110,7 +110,7 @@ def sample_summary(df: DataFrame, value: str, by: str) -> DataFrame:
     # at most one row per class reaches this window
     return null_safe_join(stats, exact, [by]).select(
         by, "n", F.round("__mean", 6).alias("media"), F.round(percentile_name("v", 0.5), 6).alias("mediana"),
-        F.round("__std", 6).alias("std"), F.round(F.col("__mean") / ok, 6).alias("ratio_media_ok"),
+        F.round("__std", 6).alias("std"), F.round(F.try_divide(F.col("__mean"), ok), 6).alias("ratio_media_ok"),
     )
 
 

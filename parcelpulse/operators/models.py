@@ -6,72 +6,105 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassificationModel,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelpulse.session import new_folder, staged
 from parcelpulse.sources.schemas import UNKNOWN
 
-# More distinct values than this do not make a category of a tree model.
-MAX_CATEGORIES = 10_000
+# Up to this many labels a category is nominal to the trees; the codes of a larger one are ranks to them.
+NOMINAL_LABELS = 1_000
 DEVIATION_OFFSET = 200.0
 
 
 @dataclass(frozen=True)
 class Encoder:
-    """Numeric columns and, per categorical column, its labels in sorted order."""
+    """Numeric columns, and the stored table (feature, value, code) of the categories' labels.
+
+    A code is the label's place in sorted order. ``sizes`` and ``unknown`` have one number per
+    category: how many labels it has, and the code of the unknown one.
+    """
 
     numeric: tuple[str, ...]
-    labels: dict[str, list[str]] = field(default_factory=dict)
+    categorical: tuple[str, ...] = ()
+    table: DataFrame | None = None
+    sizes: dict[str, int] = field(default_factory=dict)
+    unknown: dict[str, int] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
-        return [*self.numeric, *self.labels]
+        return [*self.numeric, *self.categorical]
 
 
 def _text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
 
 
+def _ranked(values: DataFrame) -> DataFrame:
+    """Labels with their place in sorted order, from 0: counted per beginning, ranked within it."""
+    start = F.left("value", F.lit(2))
+    before = Window.partitionBy("feature").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumn("start", start)
+    starts = values.groupBy("feature", "start").agg(F.count(F.lit(1)).alias("n"))
+    starts = starts.select("feature", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("feature", "start").orderBy("value"))
+    ranked = values.withColumn("nth", within).join(starts, ["feature", "start"])
+    return ranked.select("feature", "value", (F.col("offset") + F.col("nth") - 1).cast("int").alias("code"))
+
+
 def fit_encoder(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], months: Sequence[str] | None = None
 ) -> Encoder:
     """Learn the labels of each category, always with one for unknown values.
 
-    ``months`` restricts the fit to some months of training. Only the labels, whose
-    number is checked, come to the driver.
+    ``months`` restricts the fit to some months of training. The labels stay in a stored table,
+    however many they are; one row per category comes to the driver.
     """
+    if not categorical:
+        return Encoder(tuple(numeric))
     base = train if months is None else train.where(F.col("year_month").isin(list(months)))
-    labels = {}
-    for c in categorical:
-        seen = base.select(_text(c).alias("v")).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(seen) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} values; use its historical rate instead")
-        labels[c] = sorted({r.v for r in seen} | {UNKNOWN})
-    return Encoder(tuple(numeric), labels)
+    pairs = [F.struct(F.lit(c).alias("feature"), _text(c).alias("value")) for c in categorical]
+    always = train.sparkSession.createDataFrame([(c, UNKNOWN) for c in categorical], "feature string, value string")
+    values = base.select(F.inline(F.array(*pairs))).unionByName(always).distinct()
+    table = staged(_ranked(values), "labels")
+    return _encoder(numeric, categorical, table)
+
+
+def _encoder(numeric: Sequence[str], categorical: Sequence[str], table: DataFrame) -> Encoder:
+    unknown = F.max(F.when(F.col("value") == UNKNOWN, F.col("code")))
+    rows = table.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), unknown.alias("u")).collect()
+    return Encoder(tuple(numeric), tuple(categorical), table, {r.feature: r.n for r in rows}, {r.feature: r.u for r in rows})
 
 
 def encode(df: DataFrame, encoder: Encoder, keep: Sequence[str]) -> DataFrame:
-    """Numbers as float with -1 for bad or missing ones; labels as their rank, unseen as unknown."""
+    """Numbers as float with -1 for bad or missing ones; labels as their rank, unseen as unknown.
+
+    Each category is a join with its labels; the size of their file decides on a broadcast.
+    """
     out = [F.coalesce(F.col(c).try_cast("float"), F.lit(-1.0).cast("float")).alias(c) for c in encoder.numeric]
-    for c, labels in encoder.labels.items():
-        known = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))])
-        code = F.coalesce(F.try_element_at(known, _text(c)), F.lit(labels.index(UNKNOWN)))
-        nominal = {"ml_attr": {"type": "nominal", "name": c, "num_vals": len(labels)}}
-        out.append(code.alias(f"{c}_code", metadata=nominal))
+    for c in encoder.categorical:
+        labels = encoder.table.where(F.col("feature") == c)
+        labels = labels.select(F.col("value").alias(f"__value_{c}"), F.col("code").alias(f"__code_{c}"))
+        df = df.withColumn(f"__text_{c}", _text(c)).join(labels, F.col(f"__text_{c}") == F.col(f"__value_{c}"), "left")
+        nominal = {"ml_attr": {"type": "nominal", "name": c, "num_vals": encoder.sizes[c]}}
+        code = F.coalesce(f"__code_{c}", F.lit(encoder.unknown[c]))
+        out.append(code.alias(f"{c}_code", metadata=nominal if encoder.sizes[c] <= NOMINAL_LABELS else {}))
     return df.select(*keep, *out)
 
 
 def _vector(encoded: DataFrame, encoder: Encoder) -> DataFrame:
-    columns = [*encoder.numeric, *[f"{c}_code" for c in encoder.labels]]
+    columns = [*encoder.numeric, *[f"{c}_code" for c in encoder.categorical]]
     return VectorAssembler(inputCols=columns, outputCol="features").transform(encoded)
 
 
 def _max_bins(encoder: Encoder) -> int:
-    return max([32, *[len(v) + 1 for v in encoder.labels.values()]])
+    return max([32, *[n + 1 for n in encoder.sizes.values() if n <= NOMINAL_LABELS]])
 
 
 def _train_and_val(df: DataFrame) -> DataFrame:
@@ -80,7 +113,7 @@ def _train_and_val(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Boosting rounds stop early once the validation split no longer improves."""
+    """Boosting ends at the first round that makes the validation split worse, and keeps the best."""
 
     rounds: int = 100
     step: float = 0.05
@@ -102,11 +135,33 @@ class Fitted:
         return _vector(encode(df, self.encoder, keep), self.encoder)
 
 
+def save_fitted(fitted: Fitted, folder: str) -> None:
+    """Model, label table and settings as files, for another session to score with."""
+    fitted.model.save(f"{folder}/model")
+    if fitted.encoder.table is not None:
+        fitted.encoder.table.write.parquet(f"{folder}/labels")
+    row = [(list(fitted.encoder.numeric), list(fitted.encoder.categorical), list(fitted.classes), fitted.offset, type(fitted.model).__name__)]
+    schema = "numeric array<string>, categorical array<string>, classes array<string>, offset double, kind string"
+    spark = SparkSession.active()
+    spark.createDataFrame(row, schema).write.json(f"{folder}/settings")
+
+
+def load_fitted(spark: SparkSession, folder: str) -> Fitted:
+    schema = "numeric array<string>, categorical array<string>, classes array<string>, offset double, kind string"
+    kept = spark.read.schema(schema).json(f"{folder}/settings").first()
+    kinds = (GBTClassificationModel, GBTRegressionModel, RandomForestClassificationModel, OneVsRestModel)
+    model = {k.__name__: k for k in kinds}[kept.kind].load(f"{folder}/model")
+    encoder = Encoder(tuple(kept.numeric))
+    if kept.categorical:
+        encoder = _encoder(kept.numeric, kept.categorical, spark.read.parquet(f"{folder}/labels"))
+    return Fitted(model, encoder, tuple(kept.classes or ()), kept.offset)
+
+
 def fit_risk(dataset: DataFrame, encoder: Encoder, settings: TreeSettings = TreeSettings()) -> Fitted:
     """Boosted trees for the disruption label, over all training months at once."""
     rows = _train_and_val(dataset).withColumn("label", F.col("target_binario").cast("double"))
     trees = GBTClassifier(
-        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", maxIter=settings.rounds,
+        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.rounds,
         stepSize=settings.step, maxDepth=settings.depth, minInstancesPerNode=settings.min_rows,
         featureSubsetStrategy=str(settings.feature_share), subsamplingRate=settings.row_share,
         maxBins=_max_bins(encoder), seed=settings.seed,
@@ -125,9 +180,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def fit_leg(
     dataset: DataFrame, encoder: Encoder, label: str, classes: Sequence[str], settings: TreeSettings = TreeSettings()
 ) -> Fitted:
-    """Trees for the class of the broken leg, with balanced class weights.
+    """Boosted trees for the class of the broken leg, of three or four, with balanced class weights.
 
-    Boosting of Spark ML knows two classes only, so this is a random forest.
+    Boosting of Spark ML knows two classes, so each class is told from the rest.
     """
     names = F.array(*[F.lit(c) for c in classes])
     rows = dataset.where(F.col("split_set") == "train")
@@ -136,12 +191,13 @@ def fit_leg(
     for c, w in weights.items():
         weight = F.when(F.col(label) == c, float(w)).otherwise(weight)
     rows = rows.withColumn("label", (F.array_position(names, F.col(label)) - 1).cast("double")).withColumn("w", weight)
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", weightCol="w", numTrees=settings.rounds, maxDepth=settings.depth,
+    trees = GBTClassifier(
+        maxIter=settings.rounds, stepSize=settings.step, maxDepth=settings.depth,
         minInstancesPerNode=settings.min_rows, featureSubsetStrategy=str(settings.feature_share),
         subsamplingRate=settings.row_share, maxBins=_max_bins(encoder), seed=settings.seed,
     )
-    model = forest.fit(_vector(encode(rows, encoder, ["label", "w"]), encoder))
+    each = OneVsRest(classifier=trees, featuresCol="features", labelCol="label", weightCol="w", parallelism=len(classes))
+    model = each.fit(_vector(encode(rows, encoder, ["label", "w"]), encoder))
     return Fitted(model, encoder, classes=tuple(classes))
 
 
@@ -153,7 +209,7 @@ def fit_hours(
     shifted = F.col(target) + F.lit(offset)
     rows = _train_and_val(dataset).where(shifted > -1).withColumn("label", F.log1p(shifted))
     trees = GBTRegressor(
-        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", maxIter=settings.rounds,
+        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.rounds,
         stepSize=settings.step, maxDepth=settings.depth, minInstancesPerNode=settings.min_rows,
         featureSubsetStrategy=str(settings.feature_share), subsamplingRate=settings.row_share,
         maxBins=_max_bins(encoder), seed=settings.seed,
@@ -201,12 +257,11 @@ def importance(fitted: Fitted, df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     names = fitted.encoder.features
     gains = fitted.model.featureImportances.toArray()
-    splits = [0] * len(names)
-    for tree in fitted.model.trees:
-        for node in tree.toDebugString.splitlines():
-            if "If (feature " in node:
-                splits[int(node.split("If (feature ")[1].split()[0])] += 1
-    rows = [(n, float(g), s) for n, g, s in zip(names, gains, splits)]
+    with_model = new_folder(spark, "model-nodes")
+    fitted.model.save(with_model)
+    nodes = spark.read.parquet(f"{with_model}/data").select("nodeData.*").where(F.col("split.featureIndex") >= 0)
+    splits = {r.featureIndex: r.n for r in nodes.groupBy("split.featureIndex").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = [(n, float(g), splits.get(i, 0)) for i, (n, g) in enumerate(zip(names, gains))]
     return spark.createDataFrame(rows, "feature string, importance_gain double, importance_split int").orderBy(
         F.col("importance_gain").desc(), "feature"
     )

@@ -42,7 +42,7 @@ def stg_events(raw: DataFrame, vars: JobVars) -> DataFrame:
         parse_time(F.col("d_executed_at")).alias("executed_at"),
         parse_time(F.col("publish_time")).alias("published_at"),
         *[F.col(a).alias(b) for a, b in tail.items()],
-        F.col("d_order_version").cast("int").alias("order_version"),
+        F.col("d_order_version").try_cast("int").alias("order_version"),
         "year_month",
     )
 

@@ -8,9 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelpulse.functions.joins import null_safe_join
 from parcelpulse.functions.times import hours_between, parse_time
-from parcelpulse.session import staged
 from parcelpulse.sources import schemas as S
 
 ORDER_KEYS = ("logistic_order_id", "source_order_type", "fulfillment_order_type", "year_month")
@@ -45,36 +43,45 @@ def milestones(
     An actor is the largest name among the matching rows, and the last state the
     largest state, not the latest one; ``last_state_in_time`` is the latest.
 
-    The log is first combined per (key, type, state, actor) with fixed-width buffers
-    only, which hash-aggregates on the map side and spreads a key with very many
-    events. The distinct counts are a second, narrow aggregation of the same rows:
-    together with the milestones they would copy every wide row three times. The rows
-    are stored between, so that the log is read once.
+    An event stands once for each of its traits, and is combined per (key, trait, value) with
+    buffers of fixed width, which hash-aggregates on the map side and spreads a key with very
+    many events. That leaves one row per distinct type, state and actor of a key, from which a
+    second aggregation takes milestones and distinct counts. A bit per milestone says which ones
+    an actor had a hand in.
     """
     traits = ["event_type", "order_state", "executed_by"]
-    part = events.groupBy(*keys, *traits).agg(
-        F.min("event_at").alias("first_at"), F.max("event_at").alias("last_at"), F.count(F.lit(1)).alias("n")
+    acted = [m for m in spec if m.actor]
+    hands = F.lit(0)
+    for i, m in enumerate(acted):
+        hands = hands + F.when(F.col(m.column) == m.value, 1 << i).otherwise(0)
+    sides = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("value")) for i, c in enumerate(traits)]))
+    part = (
+        events.select(*keys, "event_at", hands.alias("hands"), sides.alias("trait"))
+        .groupBy(*keys, F.col("trait.side").alias("side"), F.col("trait.value").alias("value"))
+        .agg(
+            F.min("event_at").alias("first_at"), F.max("event_at").alias("last_at"),
+            F.bit_or("hands").alias("hands"), F.count(F.lit(1)).alias("n"),
+        )
     )
-    part = staged(part, "order-traits")
+    value, known = F.col("value"), F.col("value").isNotNull()
+    of = {c: F.col("side") == i for i, c in enumerate(traits)}
     out: list[Column] = []
     for m in spec:
-        hit = F.col(m.column) == m.value
+        hit = of[m.column] & (value == m.value)
         at = F.min(F.when(hit, F.col("first_at"))) if m.pick == "first" else F.max(F.when(hit, F.col("last_at")))
         out.append(at.alias(f"{m.name}_at"))
         if m.actor:
-            out.append(F.max(F.when(hit, F.col("executed_by"))).alias(f"{m.name}_by"))
-    wide = part.groupBy(*keys).agg(
+            bit = F.col("hands").bitwiseAND(1 << acted.index(m)) != 0
+            out.append(F.max(F.when(of["executed_by"] & bit, value)).alias(f"{m.name}_by"))
+    return part.groupBy(*keys).agg(
         *out,
         F.max("last_at").alias("last_event_at"),
-        F.max("order_state").alias("last_state"),
-        F.max_by("order_state", F.struct("last_at", "order_state")).alias("last_state_in_time"),
-        F.sum("n").alias("total_events"),
-    )
-    distinct = part.groupBy(*keys).agg(
-        F.count_distinct("executed_by").alias("total_actors"),
-        F.count_distinct("event_type").alias("total_event_types"),
+        F.max(F.when(of["order_state"], value)).alias("last_state"),
+        F.max_by("value", F.when(of["order_state"], F.struct("last_at", "value"))).alias("last_state_in_time"),
+        F.sum(F.when(of["event_type"], F.col("n"))).alias("total_events"),
+        F.count_if(of["executed_by"] & known).alias("total_actors"),
+        F.count_if(of["event_type"] & known).alias("total_event_types"),
     )
-    return null_safe_join(wide, distinct, list(keys))
 
 
 def promise_per_order(packages: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelpulse.operators import carriers as ca
@@ -111,11 +111,12 @@ def month_scan(w: Warehouse) -> DataFrame:
 
 @query
 def month_reload_roundtrip(w: Warehouse) -> DataFrame:
-    """Load all months, load the months of 1997 again, and reconcile: nothing doubles."""
-    log = w.package_log
+    """Load all months, then those of 1997 again, of which March is empty now: nothing doubles or stays."""
+    log = w.stored("package-log", lambda: w.package_log)
     path = new_folder(w.spark, "month-reload")
     sinks.reload_months(log, path)
-    sinks.reload_months(log.where(F.col("year_month").startswith("1997")), path)
+    again = [f"1997-{m:02d}" for m in range(1, 13)]
+    sinks.reload_months(log.where(F.col("year_month").isin(again) & (F.col("year_month") != "1997-03")), path, reloaded=again)
     return qc.reconcile(log, w.spark.read.schema(log.schema).parquet(path))
 
 
@@ -133,37 +134,52 @@ def missing_months_append(w: Warehouse) -> DataFrame:
 
 @query
 def first_wins_upsert(w: Warehouse) -> DataFrame:
-    """Carriers of even-numbered orders first, then of all: an order keeps its first row."""
+    """Carriers of even-numbered orders loaded first, then of all: an order keeps its stored row."""
     rows = w.carriers.select(
         "logistic_order_id", "carrier_code", "carrier_name", "year_month",
         F.col("seen.l_linenumber").alias("n1"), F.col("seen.l_partkey").alias("n2"), F.col("seen.l_suppkey").alias("n3"),
     )
     order = ["year_month", "n1", "n2", "n3", "carrier_code"]
     even = rows.where(F.col("logistic_order_id").cast("long") % 2 == 0)
-    target = sinks.insert_if_absent(even, None, ["logistic_order_id"], order)
-    more = sinks.insert_if_absent(rows, target, ["logistic_order_id"], order)
-    return target.unionByName(more).select("logistic_order_id", "carrier_code", "carrier_name", "year_month")
+    path = new_folder(w.spark, "carriers-upsert")
+    sinks.upsert_first(even, path, ["logistic_order_id"], order, reload=True)
+    for _ in range(2):
+        sinks.upsert_first(rows, path, ["logistic_order_id"], order)
+    return w.spark.read.parquet(path).select("logistic_order_id", "carrier_code", "carrier_name", "year_month")
+
+
+def _note() -> Column:
+    """A text that is hard to write down, by order."""
+    kinds = ["plain", "tab\there", "line\nbreak", 'a "quote"', "", "\\N", None, "\\"]
+    at = (F.col("logistic_order_id").cast("long") % len(kinds)).cast("int")
+    return F.get(F.array(*[F.lit(k) for k in kinds]), at).alias("nota")
 
 
 @query
 def text_roundtrip(w: Warehouse) -> DataFrame:
-    """CSV, tab-separated and JSON sinks written and read back: rows and NULLs survive."""
+    """CSV, tab-separated and JSON sinks written and read back: rows and NULLs survive.
+
+    The note holds tabs, newlines, quotes, nothing, NULL and what the tab-separated sink writes
+    for NULL; CSV goes without it.
+    """
     base = new_folder(w.spark, "text")
-    df = w.orders.select("logistic_order_id", "service_category", "actor_responsable", "hours_total")
-    sinks.write_csv(df, f"{base}/csv")
+    df = w.orders.select("logistic_order_id", "service_category", "actor_responsable", "hours_total", _note())
+    notes = df.schema
+    sinks.write_csv(df.drop("nota"), f"{base}/csv")
     sinks.write_tsv(df, f"{base}/tsv")
     sinks.write_json_sets({"orders": df, "legs": w.disruptions.groupBy("tramo_disruptivo").count()}, f"{base}/json")
-    read = w.spark.read.schema(df.schema)
+    plain = w.spark.read.schema(df.drop("nota").schema).option("header", True).csv(f"{base}/csv")
     back = {
-        "csv": read.option("header", True).csv(f"{base}/csv"),
-        "tsv": read.option("header", True).option("sep", "\t").option("nullValue", "\\N").csv(f"{base}/tsv"),
-        "json": read.json(f"{base}/json/orders"),
+        "csv": plain.withColumn("nota", _note()),
+        "tsv": sinks.read_tsv(w.spark, f"{base}/tsv", notes),
+        "json": w.spark.read.schema(notes).json(f"{base}/json/orders"),
     }
     out = None
     for name, x in back.items():
         row = x.agg(
             F.count(F.lit(1)).alias("n"), F.count("actor_responsable").alias("n_actor"),
             F.count("hours_total").alias("n_hours"), F.round(F.sum("hours_total"), 2).alias("sum_hours"),
+            F.count_if(F.col("nota").eqNullSafe(_note())).alias("n_nota"),
         ).select(F.lit(name).alias("formato"), "*")
         out = row if out is None else out.unionByName(row)
     assert out is not None
@@ -227,7 +243,10 @@ def not_null_report(w: Warehouse) -> DataFrame:
 
 @query
 def accepted_values(w: Warehouse) -> DataFrame:
-    return qc.accepted_values(B.raw_events(w.spark, w.sf_dir), "h_country", ["CL", "CO"])
+    """Countries that the log should not hold; every 97th order is given one."""
+    events = B.raw_events(w.spark, w.sf_dir)
+    foreign = F.col("h_logistic_order_id").cast("long") % 97 == 0
+    return qc.accepted_values(events.withColumn("h_country", F.when(foreign, "AR").otherwise(F.col("h_country"))), "h_country", S.COUNTRIES)
 
 
 @query
@@ -300,10 +319,10 @@ def carrier_search(w: Warehouse) -> DataFrame:
     """Rows of one carrier among files with and without the column, found below one folder."""
     root = new_folder(w.spark, "tracking")
     found = w.carriers.select("logistic_order_id", F.col("carrier_code").alias("carrier"), "year_month")
-    found.write.parquet(f"{root}/with/deep")
+    found.hint("rebalance", "year_month").write.partitionBy("year_month").parquet(f"{root}/with/deep")
     found.select("logistic_order_id", "year_month").write.parquet(f"{root}/without")
-    tree = readers.scan_tree(w.spark, root)
-    return readers.search_equal(tree, "carrier", "S3").groupBy("carrier", "year_month").agg(F.count(F.lit(1)).alias("n"))
+    tree = readers.scan_tree(w.spark, root, partitions=["year_month"])
+    return readers.search_equal(tree, "carrier", "S3").select("logistic_order_id", "carrier", "year_month")
 
 
 # --- feature tables ------------------------------------------------------------------
@@ -462,6 +481,13 @@ def order_events_until(w: Warehouse) -> DataFrame:
     return base.join(seen, "logistic_order_id", "left")
 
 
+@query
+def order_event_rows(w: Warehouse) -> DataFrame:
+    """The events themselves up to a moment."""
+    seen = lk.events_until(w.package_events, "2024-01-12 00:00:00")
+    return seen.select("logistic_order_id", "package_id", "event_id", "event_dt", "package_status")
+
+
 @query
 def rate_by_calendar(w: Warehouse) -> DataFrame:
     return lk.rate_by_calendar(w.dataset, "3-MEDIUM")
@@ -469,19 +495,19 @@ def rate_by_calendar(w: Warehouse) -> DataFrame:
 
 # --- models --------------------------------------------------------------------------
 
-# Small trees: the registered queries show the operators, not the best model.
-QUICK = ml.TreeSettings(rounds=5, step=0.1, depth=4, min_rows=20)
 LEG_CLASSES = ("deposito_despacho", "sin_disrupcion", "ultima_milla")
+#: Three boosted models without a validation split to stop at.
+LEG_TREES = ml.TreeSettings(rounds=20, step=0.1)
 BY_ORDER = ["logistic_order_id", "year_month", "split_set"]
 
 
 def _risk(w: Warehouse) -> ml.Fitted:
-    """Creation features with history."""
+    """Creation features with history; the validation split decides how many rounds are kept."""
     def build() -> ml.Fitted:
         df = w.dataset_with_history
         numeric = [*S.CREATION_NUMERIC, *S.HISTORY_NUMERIC]
         enc = ml.fit_encoder(readers.read_features(df, "train"), numeric, ["service_category", "franja_horaria"])
-        return ml.fit_risk(df, enc, QUICK)
+        return ml.fit_risk(df, enc)
 
     return w.model("risk", build)
 
@@ -492,7 +518,7 @@ def _flow_risk(w: Warehouse) -> ml.Fitted:
         df = staged(w.dataset_with_flow, "flow-dataset")
         numeric = [*S.CREATION_NUMERIC, *S.HISTORY_NUMERIC, *S.FLOW_NUMERIC]
         enc = ml.fit_encoder(readers.read_features(df, "train"), numeric, S.FLOW_CATEGORICAL)
-        return ml.fit_risk(df, enc, QUICK)
+        return ml.fit_risk(df, enc)
 
     return w.model("flow-risk", build)
 
@@ -537,7 +563,7 @@ def leg_scores(w: Warehouse) -> DataFrame:
     rows = ft.leg_population(w.dataset, w.orders, legs).withColumn("clase", ft.leg_class(F.col("target_tramo")))
     rows = staged(rows, "leg-rows")
     enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
-    fitted = ml.fit_leg(rows, enc, "clase", LEG_CLASSES, QUICK)
+    fitted = ml.fit_leg(rows, enc, "clase", LEG_CLASSES, LEG_TREES)
     return ml.leg_predictions(fitted, rows, [*BY_ORDER, "clase"])
 
 
@@ -546,7 +572,7 @@ def _hours(w: Warehouse, target: str, with_sla: bool) -> DataFrame:
     numeric = [c for c in S.CREATION_NUMERIC if with_sla or c != "sla_horas_prometidas"]
     enc = ml.fit_encoder(readers.read_features(rows, "train"), numeric, ["service_category", "source_order_type"])
     offset = ml.DEVIATION_OFFSET if target == "desvio_sla" else 0.0
-    fitted = ml.fit_hours(rows, enc, target, offset, QUICK)
+    fitted = ml.fit_hours(rows, enc, target, offset)
     return ml.hours_predictions(fitted, rows.withColumn("horas", F.col(target)), [*BY_ORDER, "horas"])
 
 

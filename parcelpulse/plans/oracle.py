@@ -90,7 +90,8 @@ _SQL: dict[str, str] = {
         SELECT country, year_month, count(*) AS n, count(DISTINCT o_orderkey) AS n_orders FROM base_lines
         WHERE l_returnflag <> 'R' AND country = 'CL' AND year_month IN ('1996-03', '1997-04', '1998-05') GROUP BY 1, 2""",
     "month_reload_roundtrip": """
-        SELECT year_month, count(*) AS source_rows, count(*) AS target_rows, 'OK' AS status
+        SELECT year_month, count(*) AS source_rows, CASE WHEN year_month = '1997-03' THEN 0 ELSE count(*) END AS target_rows,
+               CASE WHEN year_month = '1997-03' THEN 'MISMATCH' ELSE 'OK' END AS status
         FROM base_lines WHERE l_returnflag <> 'R' GROUP BY 1""",
     "missing_months_append": """
         SELECT year_month, count(*) AS n, count(DISTINCT o_orderkey) AS n_orders
@@ -101,7 +102,7 @@ _SQL: dict[str, str] = {
                                    ORDER BY year_month, n1, n2, n3, carrier_code, carrier_name) = 1""",
     "text_roundtrip": """
         SELECT formato, count(*) AS n, count(actor_responsable) AS n_actor, count(hours_total) AS n_hours,
-               round(sum(hours_total), 2) AS sum_hours
+               round(sum(hours_total), 2) AS sum_hours, count(*) AS n_nota
         FROM fact, (VALUES ('csv'), ('tsv'), ('json')) f(formato) GROUP BY 1""",
     "layer_materialisation": """
         SELECT year_month, count(*) AS source_rows, count(*) AS target_rows, 'OK' AS status FROM disruptions GROUP BY 1""",
@@ -133,7 +134,7 @@ _SQL: dict[str, str] = {
         UNION ALL SELECT 'event_packages', 'logistic_order_id', count(*), 0, true FROM base_lines WHERE l_returnflag <> 'R'
         UNION ALL SELECT 'event_packages', 'carrier', count(*), count(*), count(*) = 0
                   FROM base_lines WHERE l_returnflag <> 'R'""",
-    "accepted_values": "SELECT country AS h_country, count(*) AS n_rows FROM log WHERE country NOT IN ('CL', 'CO') GROUP BY 1",
+    "accepted_values": "SELECT 'AR' AS h_country, count(*) AS n_rows FROM log WHERE o_orderkey % 97 = 0 HAVING count(*) > 0",
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "key_report": """
@@ -192,7 +193,7 @@ _SQL: dict[str, str] = {
         FROM order_carriers GROUP BY 1, 2
         ORDER BY n DESC, carrier_code, carrier_name LIMIT 10""",
     "carrier_search": """
-        SELECT carrier_code AS carrier, year_month, count(*) AS n FROM carrier_rows WHERE carrier_code = 'S3' GROUP BY 1, 2""",
+        SELECT logistic_order_id, carrier_code AS carrier, year_month FROM carrier_rows WHERE carrier_code = 'S3'""",
     "ml_dataset": "SELECT * FROM ml",
     "historical_rates": f"""
         SELECT logistic_order_id, year_month, seller_n_ordenes, franja_horaria, {_RATES_ROUNDED} FROM hist h""",
@@ -331,6 +332,9 @@ _SQL: dict[str, str] = {
         LEFT JOIN disruptions d ON d.logistic_order_id = m.logistic_order_id
         LEFT JOIN (SELECT logistic_order_id, count(*) AS n_eventos, max(event_dt) AS ultimo_evento FROM status_log
                    WHERE event_dt <= TIMESTAMP '2024-01-12' GROUP BY 1) e ON e.logistic_order_id = m.logistic_order_id""",
+    "order_event_rows": """
+        SELECT logistic_order_id, package_id, event_id, event_dt, package_status FROM status_log
+        WHERE event_dt <= TIMESTAMP '2024-01-12'""",
     "rate_by_calendar": """
         SELECT dimension, valor, round(avg(target_binario) * 100, 2) AS pct_disrupted, count(*) AS n_ordenes
         FROM (SELECT target_binario, 'franja' AS dimension, franja_horaria AS valor FROM ml WHERE service_category = '3-MEDIUM'

@@ -14,7 +14,7 @@ from parcelpulse.operators import orders as fo
 from parcelpulse.operators import staging as stg
 from parcelpulse.operators import timeline as tl
 from parcelpulse.operators.models import Fitted
-from parcelpulse.session import staged, tune
+from parcelpulse.session import drop_staged, staged, tune
 from parcelpulse.sources import bindings as B
 from parcelpulse.sources import schemas as S
 from parcelpulse.sources.readers import conform, read_features
@@ -147,5 +147,7 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def close_warehouses() -> None:
-    """Forget stored tables, so that the next query computes them again."""
+    """Forget stored tables and delete their files, so that the next query computes them again."""
+    for spark in {id(w.spark): w.spark for w in _OPEN.values()}.values():
+        drop_staged(spark)
     _OPEN.clear()

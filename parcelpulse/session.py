@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,23 +44,41 @@ def local_session(cpus: int = 8, app: str = "parcelpulse") -> SparkSession:
     return tune(spark)
 
 
+#: The folder of a local session that names none, and the folders made, by application.
+_LOCAL: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may do without; its session then has one of this machine, which goes
+    when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="parcelpulse-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="parcelpulse-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
-    return f"{shared_folder(spark)}/parcelpulse/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/parcelpulse/{tag}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this session has staged; data frames that read it can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:

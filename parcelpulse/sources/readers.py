@@ -35,17 +35,31 @@ def scan_months(
     return df
 
 
-def scan_tree(spark: SparkSession, root: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Every Parquet file below a folder, whatever its depth; files may differ in columns."""
+def scan_tree(
+    spark: SparkSession, root: str, columns: Sequence[str] | None = None, partitions: Sequence[str] = ()
+) -> DataFrame:
+    """Every Parquet file below a folder, whatever its depth; files may differ in columns.
+
+    ``partitions`` names folders ``name=value`` on the way, at any depth, whose value becomes a
+    column; it is NULL for files without that folder, unless they have the column themselves.
+    """
     df = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .option("mergeSchema", True)
         .parquet(root)
     )
+    df = df.withColumns({p: folder_value(p, F.col(p) if p in df.columns else None) for p in partitions})
     return df.select(*columns) if columns else df
 
 
+def folder_value(name: str, otherwise: Column | None = None) -> Column:
+    """The value of a folder ``name=value`` in the path of the file that a row comes from."""
+    found = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]+)/", 1), F.lit(""))
+    value = F.nullif(F.url_decode(found), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return F.coalesce(value, otherwise.cast("string")) if otherwise is not None else value
+
+
 def search_equal(df: DataFrame, column: str, value: str) -> DataFrame:
     """Rows whose column has the value; none when no file has the column."""
     return df.where(F.col(column) == value) if column in df.columns else df.where(F.lit(False))

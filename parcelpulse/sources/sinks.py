@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from parcelpulse.session import staged
 
 
-def reload_months(df: DataFrame, path: str, months: str = "year_month") -> None:
-    """Replace exactly the months present in df; other months stay as they are.
+def reload_months(df: DataFrame, path: str, months: str = "year_month", reloaded: Sequence[str] | None = None) -> None:
+    """Replace the months present in df, and of the months named in ``reloaded`` those without rows too.
 
-    The rebalance gives each month few files, and splits a month too large for one task.
+    Other months stay as they are. A month named but absent from df has no rows afterwards. The
+    rebalance gives each month few files, and splits a month too large for one task.
     """
     (
         df.hint("rebalance", months).write.mode("overwrite")
@@ -23,6 +24,18 @@ def reload_months(df: DataFrame, path: str, months: str = "year_month") -> None:
         .partitionBy(months)
         .parquet(path)
     )
+    if reloaded is None:
+        return
+    spark = df.sparkSession
+    there = df.where(F.col(months).isin(list(reloaded))).select(months).distinct().collect()  # months, no rows
+    for month in sorted(set(reloaded) - {r[0] for r in there}):
+        _clear(spark, f"{path}/{months}={month}")
+
+
+def _clear(spark: SparkSession, folder: str) -> None:
+    """Remove one partition's folder through the file system it is in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def loaded_months(spark: SparkSession, path: str, schema: T.StructType, months: str = "year_month") -> DataFrame:
@@ -87,12 +100,52 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+NULL_MARK = "\\N"
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated, quoted, ``\\N`` for NULL."""
-    (
-        flatten_nested(df).write.mode("overwrite").option("sep", "\t").option("header", True)
-        .option("nullValue", "\\N").option("emptyValue", "").option("quoteAll", False).csv(path)
+    """Tab-separated lines without a header, ``\\N`` for NULL, texts quoted and their quotes doubled.
+
+    A text with a tab, a newline or a quote and an empty one come back as they are. A text that
+    reads like the NULL mark, which readers take for NULL even in quotes, gets a backslash more.
+    """
+    flat = flatten_nested(df)
+    fields = [F.coalesce(_field(f), F.lit(NULL_MARK)) for f in flat.schema]
+    flat.select(F.concat_ws("\t", *fields)).write.mode("overwrite").text(path)
+
+
+def _field(field: T.StructField) -> Column:
+    value = F.col(field.name).cast("string")
+    if not isinstance(field.dataType, T.StringType):
+        return value
+    value = F.when(value.rlike(r"\A\\+N\z"), F.concat(F.lit("\\"), value)).otherwise(value)
+    return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files of ``write_tsv``; a record may run over several lines."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    rows = (
+        spark.read.schema(texts).option("sep", "\t").option("lineSep", "\n").option("multiLine", True).option("quote", '"')
+        .option("escape", '"').option("nullValue", NULL_MARK).option("emptyValue", "").option("maxCharsPerColumn", -1)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
+    out = []
+    for f in schema:
+        value = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            value = F.when(value.rlike(r"\A\\{2,}N\z"), F.substring(value, 2, 1 << 30)).otherwise(value)
+        out.append(value.cast(f.dataType).alias(f.name))
+    return rows.select(*out)
+
+
+def upsert_first(new: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str], reload: bool = False) -> None:
+    """Append the first row of each key that the stored table does not have; ``reload`` empties it before."""
+    spark = new.sparkSession
+    target = None if reload or not _has_parts(spark, path) else spark.read.parquet(path)
+    rows = insert_if_absent(new, target, key, order_by)
+    # staged: what is appended is fixed before the table that it was compared with changes
+    staged(rows, "upsert").write.mode("overwrite" if target is None else "append").parquet(path)
 
 
 def write_json_sets(sets: Mapping[str, DataFrame], path: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelpulse.sources.readers import conform
+from parcelpulse.sources.readers import conform, folder_value
 
 
 def load_new_files(
@@ -25,6 +25,9 @@ def load_new_files(
         spark.readStream.schema(source_schema).option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet").parquet(source)
     )
+    # the month of a source folder is the file's month; only files outside of such folders go by event
+    own = F.col(months) if months in source_schema.names else None
+    stream = stream.withColumn(months, folder_value(months, own))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = conform(batch, target_type)

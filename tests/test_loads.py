@@ -34,6 +34,52 @@ def test_reloading_a_month_replaces_only_that_month(spark, folder):
     assert got == ["a", "c"]
 
 
+def test_a_reloaded_month_without_rows_is_emptied(spark, folder):
+    sinks.reload_months(_log(spark, [("a", 1, "2025-01"), ("b", 2, "2025-02"), ("c", 3, "2025-03")]), folder)
+    sinks.reload_months(_log(spark, [("d", 4, "2025-02")]), folder, reloaded=["2025-01", "2025-02", "2031-01"])
+    assert sorted(r.id for r in spark.read.parquet(folder).collect()) == ["c", "d"]
+
+
+def test_tab_separated_text_comes_back(spark, folder):
+    rows = [
+        ("a\tb", 1, None), ("", 2, "n"), ("line\nbreak", 3, "x"), ('q"uo"te', None, "\\N"), ("\\N", 5, "\\"), (None, 6, " lead "),
+        ('"', 7, "back\\slash\\"), ("\r\n", 8, '""'), ("\\\\N", 9, 'a"\tb'),
+    ]
+    df = spark.createDataFrame(rows, "x string, n int, y string")
+    sinks.write_tsv(df, folder)
+    assert sorted(map(tuple, sinks.read_tsv(spark, folder, df.schema).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_stored_upsert_keeps_the_first(spark, folder):
+    sinks.upsert_first(_log(spark, [("a", 1, "2025-01"), ("a", 0, "2024-01")]), folder, ["id"], ["year_month"])
+    sinks.upsert_first(_log(spark, [("a", 5, "2023-01"), ("b", 7, "2025-03")]), folder, ["id"], ["year_month"])
+    assert sorted((r.id, r.v) for r in spark.read.parquet(folder).collect()) == [("a", 0), ("b", 7)]
+    sinks.upsert_first(_log(spark, [("a", 5, "2023-01")]), folder, ["id"], ["year_month"], reload=True)
+    assert [(r.id, r.v) for r in spark.read.parquet(folder).collect()] == [("a", 5)]
+
+
+def test_a_tree_keeps_its_folders_values(spark, folder):
+    _log(spark, [("a", 1, "2025-01"), ("b", 2, "2025-02")]).write.partitionBy("year_month").parquet(f"{folder}/deep/er")
+    _log(spark, [("c", 3, "2025-03")]).write.parquet(f"{folder}/flat")
+    got = readers.scan_tree(spark, folder, ["id", "year_month", "country"], partitions=["year_month", "country"]).collect()
+    assert sorted(map(tuple, got)) == [("a", "2025-01", None), ("b", "2025-02", None), ("c", "2025-03", None)]
+
+
+def test_staged_folders_can_be_dropped(spark, tmp_path):
+    from parcelpulse import session
+
+    kept, session._MADE = session._MADE, {}
+    try:
+        df = session.staged(spark.range(3), "drop-me")
+        path = session._MADE[spark.sparkContext.applicationId][0]
+        assert df.count() == 3
+        session.drop_staged(spark)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        assert not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    finally:
+        session._MADE = kept
+
+
 def test_append_takes_missing_months_only(spark, folder):
     sinks.reload_months(_log(spark, [("a", 1, "2025-01")]), folder)
     more = _log(spark, [("x", 9, "2025-01"), ("b", 2, "2025-02")])

@@ -297,10 +297,53 @@ def test_encoder_always_knows_the_unknown(spark):
     train = spark.createDataFrame([("b", "2025-01", "1"), ("a", "2025-02", "x")], "c string, year_month string, n string")
     test = spark.createDataFrame([("a", "9"), ("b", None), ("zzz", "bad"), (None, "2.5")], "c string, n string")
     both = models.fit_encoder(train, ["n"], ["c"])
-    assert both.labels == {"c": [S.UNKNOWN, "a", "b"]}
-    assert [(r.n, r.c_code) for r in models.encode(test, both, []).collect()] == [(9.0, 1), (-1.0, 2), (-1.0, 0), (2.5, 0)]
+    assert {(r.value, r.code) for r in both.table.collect()} == {(S.UNKNOWN, 0), ("a", 1), ("b", 2)} and both.sizes == {"c": 3}
+    assert sorted((r.n, r.c_code) for r in models.encode(test, both, []).collect()) == [(-1.0, 0), (-1.0, 2), (2.5, 0), (9.0, 1)]
     first = models.fit_encoder(train, ["n"], ["c"], months=["2025-01"])
-    assert [r.c_code for r in models.encode(test, first, []).collect()] == [0, 1, 0, 0]
+    assert sorted(r.c_code for r in models.encode(test, first, []).collect()) == [0, 0, 0, 1]
+
+
+def test_twenty_thousand_labels_in_sorted_order(spark):
+    train = spark.range(20_000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("c"), F.lit("2025-01").alias("year_month"))
+    enc = models.fit_encoder(train, [], ["c"])
+    order = sorted([f"s{i}" for i in range(20_000)] + [S.UNKNOWN])
+    got = {r.value: r.code for r in enc.table.collect()}
+    assert got == {v: i for i, v in enumerate(order)}
+
+
+def _boosting_rows(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 4 == 0, "val").otherwise("train").alias("split_set"), F.lit("2025-01").alias("year_month"),
+        (F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 53 % 89).cast("double").alias("y"),
+        F.concat(F.lit("c"), F.col("id") % 5).alias("c"), F.col("id").alias("k"),
+    )
+    return rows.withColumn("target_binario", ((F.col("x") + F.col("y") + 20 * F.col("c").isin("c1", "c2").cast("int")) > 100).cast("int"))
+
+
+def test_boosting_boosts_and_survives_its_files(spark, tmp_path):
+    rows = _boosting_rows(spark)
+    enc = models.fit_encoder(rows, ["x", "y"], ["c"])
+    tree = models.TreeSettings(rounds=25, step=0.2, depth=3, min_rows=5)
+    one, many = models.fit_risk(rows, enc, models.TreeSettings(rounds=1, step=0.2, depth=3, min_rows=5)), models.fit_risk(rows, enc, tree)
+    val = models._vector(models.encode(rows.where("split_set = 'val'").withColumn("label", F.col("target_binario").cast("double")), enc, ["label"]), enc)
+    loss = [m.model.evaluateEachIteration(val)[-1] for m in (one, many)]
+    assert len(many.model.trees) > 5 and loss[1] < 0.8 * loss[0]
+    models.save_fitted(many, str(tmp_path / "m"))
+    again = models.load_fitted(spark, str(tmp_path / "m"))
+    key = ["k", "target_binario"]
+    a, b = (sorted(map(tuple, models.score(m, rows, key).collect())) for m in (many, again))
+    assert a == b and again.encoder.sizes == many.encoder.sizes
+    splits = {r.feature: r.importance_split for r in models.importance(many, rows).collect()}
+    assert set(splits) == {"x", "y", "c"} and min(splits.values()) > 0
+
+
+def test_leg_model_of_four_classes(spark):
+    rows = _boosting_rows(spark).withColumn("clase", F.concat(F.lit("k"), F.floor(F.col("x") / 26).cast("string")))
+    enc = models.fit_encoder(rows, ["x", "y"], ["c"])
+    names = ["k0", "k1", "k2", "k3"]
+    fitted = models.fit_leg(rows, enc, "clase", names, models.TreeSettings(rounds=5, step=0.3, depth=3, min_rows=5))
+    got = models.leg_predictions(fitted, rows, ["clase"])
+    assert got.where("pred = clase").count() > 0.9 * rows.count()
 
 
 def test_class_weights(spark):
