@@ -46,8 +46,8 @@ class Plan:
     rows: int = 6
     slack: float = 0.085
     block: int = 1024
-    #: Candidates verified for a text where it meets others, by round; the last round takes all.
-    partners: tuple[int, ...] = (2, 16, 1 << 30)
+    #: Nearest texts verified for a text where it meets others, in the first round; the second takes all.
+    partners: int = 2
 
     @property
     def registers(self) -> int:
@@ -160,50 +160,108 @@ def _signed(plan: Plan):
     return signed
 
 
-def _met(plan: Plan, most: int):
-    """Pairs worth verifying within groups: per text its nearest of other classes, by equal registers."""
+def _look_near(plan: Plan, group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a group the share of equal registers with rows of other classes, 0 where too low.
+
+    A shared byte by chance, one register in 256, is taken out of the share.
+    """
+    least = plan.threshold - plan.slack
+    least = int(np.floor((least + (1 - least) / 256) * plan.registers))
+    kinds, block = group["class"].to_numpy(), group["block"].to_numpy()
+    prints = np.frombuffer(b"".join(group["prints"].to_pylist()), np.uint8).reshape(group.num_rows, -1)
+    apart = group["block_a"][0].as_py() != group["block_b"][0].as_py()
+    for i in range(group.num_rows):
+        same = (prints[i] == prints).sum(axis=1)
+        same[(kinds == kinds[i]) | (same < least)] = 0
+        if apart:
+            same[block == block[i]] = 0
+        yield i, same
+
+
+def _mixed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    for group in groups(batches, 3):
+        kinds = group["class"].to_numpy()
+        if (kinds != kinds[0]).any():
+            yield group
+
+
+def _nearest(plan: Plan):
+    """Pairs worth verifying: each text's nearest of other classes, where it meets them."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a shared byte by chance, one register in 256, is taken out of the share
-        least = plan.threshold - plan.slack
-        least = int(np.floor((least + (1 - least) / 256) * plan.registers))
-        for group in groups(batches, 3):
-            kinds = group["class"].to_numpy()
-            if group.num_rows < 2 or (kinds == kinds[0]).all():
-                continue
-            ids, block = group["rep"].to_numpy(), group["block"].to_numpy()
-            prints = np.frombuffer(b"".join(group["prints"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            apart = group["block_a"][0].as_py() != group["block_b"][0].as_py()
-            left, right = [], []
-            for i in range(len(ids)):
-                same = (prints[i] == prints).sum(axis=1)
-                same[(kinds == kinds[i]) | (same < least)] = 0
-                if apart:
-                    same[block == block[i]] = 0
+        for group in _mixed_groups(batches):
+            ids = group["node"].to_numpy()
+            found = []
+            for i, same in _look_near(plan, group):
                 hits = np.flatnonzero(same)
-                if len(hits) > most:
-                    hits = hits[np.argsort(-same[hits], kind="stable")[:most]]
-                left.append(np.full(len(hits), ids[i]))
-                right.append(ids[hits])
-            a, b = np.concatenate(left), np.concatenate(right)
-            if len(a):
-                both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+                if len(hits) > plan.partners:
+                    hits = hits[np.argsort(-same[hits], kind="stable")[: plan.partners]]
+                found.append(np.stack([np.minimum(ids[i], ids[hits]), np.maximum(ids[i], ids[hits])], 1))
+            both = np.unique(np.concatenate(found), axis=0)
+            if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     return pairs
 
 
+def _undecided(plan: Plan):
+    """The rows of groups that look near to a row of another class."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _mixed_groups(batches):
+            open_ = [bool(same.any()) for _, same in _look_near(plan, group)]
+            if any(open_):
+                yield from group.filter(pa.array(open_)).combine_chunks().to_batches()
+
+    return rows
+
+
+def _settled(plan: Plan):
+    """Verifies all pairs of other classes that look near, each where it meets first; yields links that join."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _mixed_groups(batches):
+            ids, band = group["node"].to_numpy(), group["band"][0].as_py()
+            bands = np.stack([np.asarray(x.values) for x in group["bands"]])
+            bags = [np.frombuffer(x.as_buffer(), U) for x in group["bag"]]
+            nth = int(np.flatnonzero(bands[0] == band)[0])
+            root = list(range(len(ids)))
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            out = []
+            for i, same in _look_near(plan, group):
+                hits = np.flatnonzero(same[i + 1 :]) + i + 1
+                hits = hits[~(bands[hits, :nth] == bands[i, :nth]).any(axis=1)] if nth else hits
+                for j in hits.tolist():
+                    x, y = find(i), find(j)
+                    if x != y and _near(bags[i], bags[j], plan.threshold):
+                        root[max(x, y)] = min(x, y)
+                        out.append((ids[i], ids[j]))
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return links
+
+
+def _near(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """Whether two sorted sets of expanded shingles overlap enough."""
+    if not len(x) or not len(y) or min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    common = int((y[at] == x).sum())
+    return common > 0 and common >= threshold * (len(x) + len(y) - common) - 1e-9
+
+
 def _overlap(plan: Plan):
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                common = 0
-                if min(len(x), len(y)) >= plan.threshold * max(len(x), len(y)):
-                    at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
-                    common = int((y[at] == x).sum()) if len(y) else 0
-                near.append(common > 0 and common >= plan.threshold * (len(x) + len(y) - common) - 1e-9)
+            bags = zip(batch.column(2), batch.column(3), strict=True)
+            near = [_near(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), plan.threshold) for x, y in bags]
             mask = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
@@ -219,50 +277,50 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), text: str = "text", id
     copies; texts without words, null or empty, are alone. An id that occurs again has the class of
     all of its texts. Empty tables give no rows.
 
-    Texts that meet in a band are compared in a task by blocks of ``plan.block``, and leave it as
-    few pairs: each text's nearest of another class. What is verified joins classes; the next
-    round takes more of the pairs that still lie in different classes, the last one all.
+    Texts that meet in a band are compared in a task by blocks of ``plan.block``. The first round
+    verifies each text's nearest ones, which joins nearly all of a class. In the second the texts
+    that still look near to one of another class meet again with their shingles, and all such pairs
+    are verified in the task, each once; only links that join leave it.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text).alias("text")).where("doc_id is not null")
     signed = staged(rows.mapInArrow(_signed(plan), "doc_id long, key binary, bands array<long>, prints binary"), "bagminhash")
     reps = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("prints").alias("prints"))
-    reps = staged(reps, "bagminhash-texts")
+    # an id with several texts may stand for more than one of them: a text is known by id and words
+    reps = staged(reps.withColumn("node", F.xxhash64("rep", "key")), "bagminhash-texts")
 
-    bands = reps.select("rep", "key", F.explode("bands").alias("band"))
+    bands = reps.select("node", F.explode("bands").alias("band"))
     full = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = staged(bands.join(full, "band").select("band", "n", "rep", "key"), "bagminhash-bands")
-    # an id with several texts may stand for more than one of them; a text is known by id and words
-    texts = met.select("rep", "key").distinct()
-    node = F.xxhash64("rep", "key")
-    nodes = staged(texts.join(reps, ["rep", "key"]).select(node.alias("node"), "rep", "key", "prints"), "bagminhash-nodes")
+    met = staged(bands.join(full, "band").select("band", "n", "node"), "bagminhash-bands")
+    nodes = staged(reps.join(met.select("node").distinct(), "node", "left_semi"), "bagminhash-nodes")
     bags = _bags_of(rows, nodes, plan)
 
     n_blocks = F.ceil(F.col("n") / plan.block).cast("int")
-    dealt = met.select("band", node.alias("node"), n_blocks.alias("n_blocks"), F.pmod(node, n_blocks).cast("int").alias("block"))
+    dealt = met.select("band", "node", n_blocks.alias("n_blocks"), F.pmod("node", n_blocks).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     order = ["band", "block_a", "block_b"]
     dealt = dealt.select("band", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "block", "node")
 
-    links, classes = None, nodes.select("node", F.col("node").alias("class"))
-    for most in plan.partners:
-        held = nodes.select("node", "prints").join(classes, "node")
-        here = dealt.join(held, "node").select(*order, "block", F.col("node").alias("rep"), "class", "prints")
-        pairs = here.repartition(*order).sortWithinPartitions(*order).mapInArrow(_met(plan, most), "a long, b long")
-        pairs = staged(pairs.distinct(), "bagminhash-pairs")
-        if pairs.isEmpty():
-            break
-        first = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
-        second = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
-        both = pairs.join(first, "a").join(second, "b").select("a", "b", "bag_a", "bag_b")
-        found = staged(both.mapInArrow(_overlap(plan), "a long, b long"), "bagminhash-links")
-        links = found if links is None else links.unionByName(found)
-        joined = components(links)
-        classes = staged(
-            nodes.select("node").join(joined.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("component", "node").alias("class")),
-            "bagminhash-classes",
-        )
+    alone = nodes.select("node", "prints", F.col("node").alias("class"))
+    here = dealt.join(alone, "node").select(*order, "block", "node", "class", "prints")
+    pairs = here.repartition(*order).sortWithinPartitions(*order).mapInArrow(_nearest(plan), "a long, b long")
+    pairs = staged(pairs.distinct(), "bagminhash-pairs")
+    first = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
+    second = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "bag_a", "bag_b")
+    links = staged(both.mapInArrow(_overlap(plan), "a long, b long"), "bagminhash-links")
+
+    classed = staged(_classes(nodes, links), "bagminhash-classes")
+    here = dealt.join(classed, "node").select(*order, "block", "node", "class", "prints")
+    fields = "band long, block_a int, block_b int, block int, node long, class long, prints binary"
+    left = here.repartition(*order).sortWithinPartitions(*order).mapInArrow(_undecided(plan), fields)
+    left = staged(left, "bagminhash-undecided")
+    again = left.join(nodes.select("node", "bands"), "node").join(bags, "node")
+    again = again.select(*order, "block", "node", "class", "prints", "bands", "bag")
+    more = again.repartition(*order).sortWithinPartitions(*order).mapInArrow(_settled(plan), "a long, b long")
+    links = links.unionByName(staged(more, "bagminhash-links"))
+    classes = _classes(nodes, links).select("node", "class")
     # classes of texts as links between ids, together with those of equal words
-    name = nodes.join(classes, "node").select("rep", "class")
+    name = staged(nodes.join(classes, "node").select("rep", "class"), "bagminhash-names")
     least = name.groupBy("class").agg(F.min("rep").alias("least"))
     edges = name.join(least, "class").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     copies = signed.where("key is not null").select("doc_id", "key").join(reps.select("key", "rep"), "key")
@@ -274,12 +332,18 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), text: str = "text", id
     return out.select("doc_id", class_id.alias("class_id"), (class_id == F.col("doc_id")).alias("kept"))
 
 
+def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, prints, class) of every text that met another."""
+    joined = components(links).withColumnRenamed("id", "node")
+    return nodes.select("node", "prints").join(joined, "node", "left").select("node", "prints", F.coalesce("component", "node").alias("class"))
+
+
 def _bags_of(rows: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
-    """(node, bag) of the texts that met another."""
-    texts = rows.join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    """(node, bag) of the texts that met another. Texts and ids are shuffled alike at every size."""
+    wanted = nodes.select(F.col("rep").alias("doc_id")).distinct()
+    texts = rows.join(wanted.hint("merge"), "doc_id", "left_semi")
     shingled = texts.mapInArrow(_keyed_bags(plan), "rep long, key binary, bag binary")
-    node = F.xxhash64("rep", "key")
-    bags = shingled.select(node.alias("node"), "bag").join(nodes.select("node"), "node", "left_semi")
+    bags = shingled.select(F.xxhash64("rep", "key").alias("node"), "bag").join(nodes.select("node"), "node", "left_semi")
     return staged(bags.groupBy("node").agg(F.first("bag").alias("bag")), "bagminhash-bags")
 
 
