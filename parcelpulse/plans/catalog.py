@@ -559,20 +559,31 @@ def classifier_quality(w: Warehouse) -> DataFrame:
 
 @query
 def leg_scores(w: Warehouse) -> DataFrame:
+    return leg_scores_of(w)
+
+
+def leg_scores_of(w: Warehouse) -> DataFrame:
     legs = ["hours_deposito", "hours_despacho", "hours_ultima_milla"]
     rows = ft.leg_population(w.dataset, w.orders, legs).withColumn("clase", ft.leg_class(F.col("target_tramo")))
     rows = staged(rows, "leg-rows")
-    enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
-    fitted = ml.fit_leg(rows, enc, "clase", LEG_CLASSES, LEG_TREES)
+    def build() -> ml.Fitted:
+        enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
+        return ml.fit_leg(rows, enc, "clase", LEG_CLASSES, LEG_TREES)
+
+    fitted = w.model("leg", build)
     return ml.leg_predictions(fitted, rows, [*BY_ORDER, "clase"])
 
 
 def _hours(w: Warehouse, target: str, with_sla: bool) -> DataFrame:
     rows = ft.hours_population(w.dataset)
     numeric = [c for c in S.CREATION_NUMERIC if with_sla or c != "sla_horas_prometidas"]
-    enc = ml.fit_encoder(readers.read_features(rows, "train"), numeric, ["service_category", "source_order_type"])
     offset = ml.DEVIATION_OFFSET if target == "desvio_sla" else 0.0
-    fitted = ml.fit_hours(rows, enc, target, offset)
+
+    def build() -> ml.Fitted:
+        enc = ml.fit_encoder(readers.read_features(rows, "train"), numeric, ["service_category", "source_order_type"])
+        return ml.fit_hours(rows, enc, target, offset)
+
+    fitted = w.model(f"hours-{target}-{with_sla}", build)
     return ml.hours_predictions(fitted, rows.withColumn("horas", F.col(target)), [*BY_ORDER, "horas"])
 
 
@@ -618,6 +629,80 @@ def score_itineraries(w: Warehouse) -> DataFrame:
     return sc.score_itineraries(B.itineraries(w.orders), w.dataset_with_history, _flow_risk(w))
 
 
+# Checks of the trained models: what must hold for each row whatever the trees are, with the row's key and label.
+
+
+def _checked_scores(scored: DataFrame) -> DataFrame:
+    p = F.col("prob").cast("double")
+    return scored.select(
+        *BY_ORDER, "service_category", "target",
+        p.between(0, 1).alias("prob_ok"),
+        # the class is taken from the exact probability, the score is rounded to four digits
+        ((F.abs(p - 0.5) < 0.0001) | (F.col("pred") == (p >= 0.5).cast("int"))).alias("pred_ok"),
+        ((F.col("hit") == 1) == (F.col("pred") == F.col("target"))).alias("hit_ok"),
+    )
+
+
+@query
+def classifier_scores_checked(w: Warehouse) -> DataFrame:
+    return _checked_scores(ml.predictions(_risk(w), w.dataset_with_history))
+
+
+@query
+def flow_classifier_scores_checked(w: Warehouse) -> DataFrame:
+    return _checked_scores(ml.predictions(_flow_risk(w), w.dataset_with_flow))
+
+
+@query
+def classifier_quality_checked(w: Warehouse) -> DataFrame:
+    """Rows per split, and whether each classifier has more than one tree and ranks better than a floor."""
+    out = None
+    for name, fitted, rows in (("creacion", _risk(w), w.dataset_with_history), ("flujo", _flow_risk(w), w.dataset_with_flow)):
+        auc = ev.roc_auc(ml.predictions(fitted, rows)).select(
+            F.lit(name).alias("modelo"), "split_set", (F.col("n_pos") + F.col("n_neg")).cast("long").alias("n"),
+            (F.col("auc") > 0.6).alias("auc_ok"), F.lit(len(fitted.model.trees) > 1).alias("boosted"),
+        )
+        out = auc if out is None else out.unionByName(auc)
+    return out
+
+
+@query
+def leg_scores_checked(w: Warehouse) -> DataFrame:
+    return leg_scores_of(w).select(*BY_ORDER, "clase", F.col("pred").isin(*LEG_CLASSES).alias("pred_ok"))
+
+
+@query
+def hours_regression_checked(w: Warehouse) -> DataFrame:
+    hours = _hours(w, "target_horas_totales", with_sla=True)
+    fine = (F.col("horas_pred") >= 0) & (F.col("horas_pred") < 1e6)
+    return hours.select(*BY_ORDER, F.round("horas", 4).alias("horas"), fine.alias("pred_ok"))
+
+
+@query
+def score_new_orders_checked(w: Warehouse) -> DataFrame:
+    scored = sc.score_new_orders(B.new_order_requests(w.dataset, w.orders), w.dataset_with_history, _risk(w))
+    return scored.select(
+        "pedido", "fuente", F.col("prob").between(0, 1).alias("prob_ok"),
+        (F.abs(F.col("porcentaje") - F.col("prob") * 100) <= 0.0501).alias("porcentaje_ok"),
+    )
+
+
+@query
+def score_itineraries_checked(w: Warehouse) -> DataFrame:
+    scored = sc.score_itineraries(B.itineraries(w.orders), w.dataset_with_history, _flow_risk(w))
+    return scored.select(
+        "pedido", F.col("prob").between(0, 1).alias("prob_ok"), (F.col("nivel_riesgo") == ml.risk_level(F.col("prob"))).alias("nivel_ok")
+    )
+
+
+@query
+def replay_with_model_checked(w: Warehouse) -> DataFrame:
+    scored = replay_scores_of(w)
+    return scored.groupBy("logistic_order_id").agg(
+        F.count(F.lit(1)).alias("n_hitos"), F.bool_and(F.col("prob").between(0, 1)).alias("prob_ok")
+    )
+
+
 # --- evaluation ----------------------------------------------------------------------
 
 
@@ -728,6 +813,10 @@ def replay_summary(w: Warehouse) -> DataFrame:
 @query
 def replay_with_model(w: Warehouse) -> DataFrame:
     """The flow model's risk at every status change of every order with events."""
+    return replay_scores_of(w)
+
+
+def replay_scores_of(w: Warehouse) -> DataFrame:
     known = w.dataset_with_history.drop("year_month")
     rows = rp.prefix_features(w.package_events).join(known, "logistic_order_id")
     keep = ["logistic_order_id", "n_hito", "event_dt", "package_status", "n_hito_eventos"]

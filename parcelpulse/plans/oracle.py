@@ -449,5 +449,30 @@ _SQL: dict[str, str] = {
 }
 
 
+_CHECKED = """SELECT logistic_order_id, year_month, split_set, service_category, CAST(target_binario AS SMALLINT) AS target,
+    true AS prob_ok, true AS pred_ok, true AS hit_ok FROM ml"""
+
+# what must hold for the rows of a trained model: keys and labels by SQL, the checks all true
+_SQL |= {
+    "classifier_scores_checked": _CHECKED,
+    "flow_classifier_scores_checked": _CHECKED,
+    "classifier_quality_checked": """
+        SELECT modelo, split_set, count(*) AS n, true AS auc_ok, true AS boosted
+        FROM ml, (VALUES ('creacion'), ('flujo')) m(modelo) GROUP BY 1, 2""",
+    "leg_scores_checked": f"""
+        SELECT logistic_order_id, year_month, split_set, clase_tramo AS clase, true AS pred_ok
+        FROM ({_SQL["leg_population"]}) JOIN (SELECT logistic_order_id, year_month FROM ml) USING (logistic_order_id)""",
+    "hours_regression_checked": """
+        SELECT logistic_order_id, year_month, split_set, round(target_horas_totales, 4) AS horas, true AS pred_ok FROM pop""",
+    "score_new_orders_checked": f"""
+        SELECT pedido, fuente, true AS prob_ok, true AS porcentaje_ok FROM ({_SQL["new_order_features"]})""",
+    "score_itineraries_checked": f"""
+        SELECT pedido, true AS prob_ok, true AS nivel_ok FROM ({_SQL["flow_from_array"]})""",
+    "replay_with_model_checked": """
+        SELECT logistic_order_id, count(*) AS n_hitos, true AS prob_ok
+        FROM prefixes JOIN (SELECT logistic_order_id FROM ml) USING (logistic_order_id) GROUP BY 1""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_layers(sql) for name, sql in _SQL.items()}
