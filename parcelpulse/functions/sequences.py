@@ -1,8 +1,8 @@
 """Row-to-row work along the events of a key, safe for hot keys.
 
 A plain window puts every event of a key into one task. Keys with more than
-``limit`` events are therefore cut into time slices first; windows run per
-(key, slice), and what must cross a slice border is carried over from one summary
+``limit`` events are therefore cut into slices of consecutive events first; windows run
+per (key, slice), and what must cross a slice border is carried over from one summary
 row per slice. Keys below the limit have the single slice 0.
 """
 
@@ -46,27 +46,23 @@ class Sequence_:
 def sequence(
     df: DataFrame, key: Sequence[str], time: str, ties: Sequence[str] = (), limit: int = HOT_KEY_ROWS
 ) -> Sequence_:
-    """Cut the events of hot keys into time slices of about ``limit`` events."""
-    span = F.timestamp_diff("MICROSECOND", F.min(time), F.max(time))
-    hot = (
-        df.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(time).alias("__t0"), span.alias("__span"))
-        .where(F.col("__n") > limit)
-        .select(
-            *key, "__t0",
-            F.greatest(F.lit(1), F.ceil(F.col("__span") * F.lit(float(limit)) / F.col("__n"))).alias("__width"),
-        )
-    )
+    """Cut the events of hot keys into slices of about ``limit`` events, by rank.
+
+    The events of hot keys are dealt out by ranges of (key, time, ties), so a burst is cut as
+    finely as it is dense, and an instant by its ties. They are stored with their slice, because
+    the bounds of ranges are drawn anew by every plan that computes them.
+    """
+    hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
     hot = staged(hot, "hot-keys")
-    if hot.isEmpty():
+    rows = hot.agg(F.sum("__n").alias("n")).first().n
+    if not rows:
         return Sequence_(df.withColumn(SLICE, F.lit(0).cast("long")), tuple(key), time, tuple(ties), False)
-    since = F.timestamp_diff("MICROSECOND", F.col("__t0"), F.col(time))
-    cut = (
-        null_safe_join(df, hot, list(key), "left")
-        .withColumn(SLICE, F.coalesce(F.floor(since / F.col("__width")), F.lit(0)).cast("long"))
-        .drop("__t0", "__width")
-    )
-    return Sequence_(cut, tuple(key), time, tuple(ties), True)
+    marked = null_safe_join(df, hot, list(key), "left")
+    cold = marked.where(F.col("__n").isNull()).drop("__n").withColumn(SLICE, F.lit(0).cast("long"))
+    many = 2 * -(-rows // limit)
+    ranges = marked.where(F.col("__n").isNotNull()).drop("__n").repartitionByRange(many, *key, time, *ties)
+    sliced = staged(ranges.withColumn(SLICE, F.spark_partition_id().cast("long")), "hot-events")
+    return Sequence_(cold.unionByName(sliced), tuple(key), time, tuple(ties), True)
 
 
 def previous(seq: Sequence_, columns: Sequence[str]) -> Sequence_:

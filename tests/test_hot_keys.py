@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from parcelpulse.functions.sequences import sequence
+from parcelpulse.functions.sequences import previous, running, sequence
 from parcelpulse.operators import flow, lookups, replay
 
 STATUSES = ["SHIPMENT_CONFIRMED", "IN_TRANSIT", "OUT_FOR_DELIVERY", "DELIVERY_ATTEMPTED", "EXCEPTION", "ANNULLED", None]
@@ -61,6 +61,19 @@ def test_replay(events, limit):
     _same(replay.prefix_features(events), replay.prefix_features(events, limit=limit))
 
 
+@pytest.mark.parametrize("kind", ["burst", "instant"])
+def test_a_burst_is_cut_by_rank(spark, kind):
+    second = F.col("id") if kind == "burst" else F.lit(0)
+    at = F.timestamp_micros(F.when(F.col("id") == 0, 10**15).otherwise(second)).cast("timestamp_ntz")
+    rows = spark.range(20_000).select(F.lit("k").alias("k"), at.alias("t"), F.col("id").alias("tie"))
+    seq = sequence(rows, ["k"], "t", ["tie"], limit=1000)
+    sizes = seq.df.groupBy("__slice").count()
+    assert seq.hot and sizes.agg(F.max("count")).first()[0] <= 2000
+    whole = sequence(rows, ["k"], "t", ["tie"])
+    runs = [running(previous(x.replace(x.df.withColumn("one", F.lit(1))), ["tie"]), sums=["one"]).df.select("tie", "prev_tie", "run_one") for x in (seq, whole)]
+    assert sorted(map(tuple, runs[0].collect()), key=str) == sorted(map(tuple, runs[1].collect()), key=str)
+
+
 def _brute(rows):
     """Features of a list of events in order, one by one."""
     t0 = rows[0].event_dt
