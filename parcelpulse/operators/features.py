@@ -78,15 +78,23 @@ def historical_features(dataset: DataFrame, rates: dict[str, DataFrame]) -> Data
     small. A seller table too large for that is joined by shuffle, where a seller
     with very many orders is split by the adaptive skew join.
     """
-    keys = sorted({k for ks in RATES.values() for k in ks})
-    df = dataset.select("logistic_order_id", "year_month", *keys)
+    df = with_rates(dataset, rates)
+    return df.select("logistic_order_id", "year_month", "seller_n_ordenes", "franja_horaria", *RATES)
+
+
+def with_rates(dataset: DataFrame, rates: dict[str, DataFrame]) -> DataFrame:
+    """All columns of the dataset with its rates: each row gets its own, whatever its key, and none is doubled."""
+    df = dataset
     for name, on in RATES.items():
         df = df.join(rates[name], on, "left")
-    return df.select("logistic_order_id", "year_month", "seller_n_ordenes", "franja_horaria", *RATES)
+    return df.select(*dataset.columns, "seller_n_ordenes", *RATES)
 
 
 def dataset_with_history(dataset: DataFrame, history: DataFrame) -> DataFrame:
-    """Inner join on the order; columns both sides have are taken from the dataset."""
+    """Inner join of a history that is another table; columns both sides have are taken from the dataset.
+
+    The history must have one row per order and month. Rates of the dataset's own rows need no join: ``with_rates``.
+    """
     extra = [c for c in history.columns if c not in dataset.columns]
     return null_safe_join(
         dataset, history.select("logistic_order_id", "year_month", *extra), ["logistic_order_id", "year_month"]

@@ -109,7 +109,7 @@ class Warehouse:
 
     @property
     def dataset_with_history(self) -> DataFrame:
-        return self.stored("dataset", lambda: ft.dataset_with_history(self.dataset, self.history))
+        return self.stored("dataset", lambda: ft.with_rates(self.dataset, self.rates))
 
     @property
     def flow(self) -> DataFrame:

@@ -346,6 +346,13 @@ def test_leg_model_of_four_classes(spark):
     assert got.where("pred = clase").count() > 0.9 * rows.count()
 
 
+def test_rates_do_not_double_rows(spark):
+    rows = [("1", "2025-01", "s1", "A", 0, 1, "tarde", t, 1) for t in ("x", "y")] + [("2", "2025-01", None, "B", 1, 2, "manana", "x", 0)]
+    df = spark.createDataFrame(rows, "logistic_order_id string, year_month string, seller_id string, service_category string, is_click_and_collect int, dia_semana_creacion int, franja_horaria string, source_order_type string, target_binario int")
+    got = features.with_rates(df, features.rate_tables(df)).orderBy("logistic_order_id", "source_order_type").collect()
+    assert [(r.source_order_type, r.seller_n_ordenes, r.categoria_tasa_disrupcion) for r in got] == [("x", 2, 1.0), ("y", 2, 1.0), ("x", None, 0.0)]
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3, "c string")
     assert {r.c: r.peso for r in models.class_weights(df, "c").collect()} == {"a": 0.75, "b": 1.5}
