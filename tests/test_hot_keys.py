@@ -74,64 +74,42 @@ def test_a_burst_is_cut_by_rank(spark, kind):
     assert sorted(map(tuple, runs[0].collect()), key=str) == sorted(map(tuple, runs[1].collect()), key=str)
 
 
-def _brute(rows):
-    """Features of a list of events in order, one by one."""
-    t0 = rows[0].event_dt
-    hours = [(b.event_dt - a.event_dt).total_seconds() / 3600 for a, b in zip(rows, rows[1:])]
-
-    def reach(s):
-        return next(((r.event_dt - t0).total_seconds() / 3600 for r in rows if r.package_status == s), -1.0)
-
-    states = [r.package_status for r in rows]
-    return {
-        "horas_a_shipment_confirmed": reach("SHIPMENT_CONFIRMED"), "horas_a_out_for_delivery": reach("OUT_FOR_DELIVERY"),
-        "horas_entre_eventos_max": max(hours, default=0.0), "horas_entre_eventos_avg": sum(hours) / len(hours) if hours else 0.0,
-        "n_eventos_total": len(rows), "n_estados_distintos": len(set(states) - {None}),
-        "tuvo_delivery_attempted": int("DELIVERY_ATTEMPTED" in states), "tuvo_exception": int("EXCEPTION" in states),
-        "tuvo_annulled": int("ANNULLED" in states), "esta_en_transito": int(states[-1] == "IN_TRANSIT"),
-        "esta_out_for_delivery": int(states[-1] == "OUT_FOR_DELIVERY"),
-        "esta_shipment_confirmed": int(states[-1] == "SHIPMENT_CONFIRMED"), "ultimo_estado": states[-1],
-    }
-
-
-def _by_order(events):
-    out = {}
-    for r in events.orderBy("event_dt", "event_id").collect():
-        out.setdefault(r.logistic_order_id, []).append(r)
-    return out
-
-
-def test_flow_features_by_hand(events):
-    groups = _by_order(events)
-    got = {r.logistic_order_id: r for r in flow.flow_features(events, limit=50).collect()}
-    assert set(got) == set(groups)
-    for order, rows in groups.items():
-        for name, value in _brute(rows).items():
-            assert got[order][name] == (pytest.approx(value) if isinstance(value, float) else value), (order, name)
-
-
-def test_prefix_features_by_hand(events):
-    groups = _by_order(events)
-    got = replay.prefix_features(events, limit=50).collect()
-    n = 0
-    for order, rows in groups.items():
-        seen, last = set(), None
-        stones = []
-        for r in rows:
-            if (r.event_dt, r.package_status) in seen:
-                continue
-            seen.add((r.event_dt, r.package_status))
-            if r.package_status != last:
-                stones.append(r)
-                last = r.package_status
-        mine = {r.n_hito: r for r in got if r.logistic_order_id == order}
-        assert len(mine) == len(stones)
-        n += len(stones)
-        for i, stone in enumerate(stones, start=1):
-            assert (mine[i].event_dt, mine[i].package_status) == (stone.event_dt, stone.package_status)
-            for name, value in _brute([r for r in rows if r.event_dt <= stone.event_dt]).items():
-                assert mine[i][name] == (pytest.approx(value) if isinstance(value, float) else value), (order, i, name)
-    assert n == len(got)
+# One order's day and a lone event without a status, with what they come to, worked out by hand.
+DAY = [("10:00", "SHIPMENT_CONFIRMED"), ("12:00", "IN_TRANSIT"), ("18:00", "DELIVERY_ATTEMPTED"), ("18:00", "DELIVERY_ATTEMPTED"), ("18:30", "OUT_FOR_DELIVERY")]
+NAMES = [
+    "horas_a_shipment_confirmed", "horas_a_out_for_delivery", "horas_entre_eventos_max", "horas_entre_eventos_avg", "n_eventos_total",
+    "n_estados_distintos", "tuvo_delivery_attempted", "tuvo_exception", "tuvo_annulled", "esta_en_transito", "esta_out_for_delivery",
+    "esta_shipment_confirmed", "ultimo_estado",
+]
+STONES = [
+    ("10:00", 0.0, -1.0, 0.0, 0.0, 1, 1, 0, 0, 0, 0, 0, 1, "SHIPMENT_CONFIRMED"),
+    ("12:00", 0.0, -1.0, 2.0, 2.0, 2, 2, 0, 0, 0, 1, 0, 0, "IN_TRANSIT"),
+    ("18:00", 0.0, -1.0, 6.0, 8 / 3, 4, 3, 1, 0, 0, 0, 0, 0, "DELIVERY_ATTEMPTED"),
+    ("18:30", 0.0, 8.5, 6.0, 2.125, 5, 4, 1, 0, 0, 0, 1, 0, "OUT_FOR_DELIVERY"),
+]
+LONE = (-1.0, -1.0, 0.0, 0.0, 1, 0, 0, 0, 0, 0, 0, 0, None)
+
+
+@pytest.fixture(scope="module")
+def day(spark):
+    at = lambda t: dt.datetime.fromisoformat(f"2025-03-01T{t}")
+    rows = [("a", "p", "s", "d", status, "E", at(t), i) for i, (t, status) in enumerate(DAY)]
+    return spark.createDataFrame([*rows, ("b", "p", "s", "d", None, "E", at("09:00"), 99)], SCHEMA)
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_flow_features_by_hand(day, limit):
+    got = {r.logistic_order_id: [r[n] for n in NAMES] for r in flow.flow_features(day, limit=limit).collect()}
+    assert got == {"a": [pytest.approx(x) if isinstance(x, float) else x for x in STONES[-1][1:]], "b": list(LONE)}
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_prefix_features_by_hand(day, limit):
+    got = {r.n_hito: r for r in replay.prefix_features(day, limit=limit).where("logistic_order_id = 'a'").collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    for n, (at, *values) in enumerate(STONES, start=1):
+        assert got[n].event_dt.strftime("%H:%M") == at
+        assert [got[n][c] for c in NAMES] == [pytest.approx(x) if isinstance(x, float) else x for x in values]
 
 
 def test_last_prefix_equals_whole_sequence(events):
