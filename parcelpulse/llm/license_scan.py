@@ -6,9 +6,10 @@ aligned in the same way, where more words are unique. A gap without anchors keep
 sides have in common at its ends, and the rest its longest common subsequence. The share of the
 template's words that are aligned is the coverage.
 
-A text may hold a notice anywhere and more than once. The template's word that is rarest in the
-text marks where copies may lie; each mark is aligned within a stretch twice as long as the
-template, so the work grows with the text and not with its square.
+A text may hold a notice anywhere and more than once. The template's words that are rarest in the
+text mark where copies may begin; each such place is aligned within stretches of up to three times
+the template, so the work grows with the text and not with its square. Stretches end at copies
+already found, so that copies side by side are all found.
 """
 
 from __future__ import annotations
@@ -58,8 +59,6 @@ TEMPLATES = {
     "CC-BY-SA line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 WORD = regex.compile(r"[\p{L}\p{N}]+")
-#: Stretches of text around a mark, in lengths of the template on either side.
-REACH = 2
 
 
 @dataclass(frozen=True)
@@ -96,21 +95,27 @@ def increasing(values: list[int]) -> list[int]:
 
 
 def _common_subsequence(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Pairs of places of a longest common subsequence of two short lists."""
-    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in reversed(range(len(a))):
-        for j in reversed(range(len(b))):
-            rows[i][j] = rows[i + 1][j + 1] + 1 if a[i] == b[j] else max(rows[i + 1][j], rows[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif rows[i + 1][j] >= rows[i][j + 1]:
-            i += 1
+    """Pairs of places of a longest common subsequence, a row of bits per word of ``a``."""
+    whole = (1 << len(b)) - 1
+    where: dict[str, int] = {}
+    for j, w in enumerate(b):
+        where[w] = where.get(w, 0) | 1 << j
+    # bit j of a row is 0 where the length of the subsequence grows with b's word j
+    rows, row = [whole], whole
+    for w in a:
+        hits = row & where.get(w, 0)
+        row = ((row + hits) | (row - hits)) & whole
+        rows.append(row)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> (j - 1) & 1:
+            j -= 1
+        elif not rows[i - 1] >> (j - 1) & 1:
+            i -= 1
         else:
-            j += 1
-    return out
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
 
 
 def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
@@ -179,18 +184,102 @@ class Scanner:
             lacked += counts[w]
             if lacked > missing:
                 break
-        out, done, reach = [], -1, REACH * len(template)
-        for mark in sorted(marks):
-            if mark <= done:
-                continue
-            low, high = max(done + 1, mark - reach), min(len(words), mark + reach)
-            pairs = align(words[low:high], template)
-            pairs = _dense(pairs, len(template))
-            if len(pairs) >= self.coverage * len(template):
-                first, last = low + pairs[0][0], low + pairs[-1][0]
-                out.append(Match(name, spots[first][1], spots[last][2], len(pairs), len(template)))
-                done = last
-        return out
+        at: dict[str, list[int]] = {}
+        for j, w in enumerate(template):
+            at.setdefault(w, []).append(j)
+        votes = Counter(mark - j for mark in marks for j in at[words[mark]])
+        least = len(template) - missing
+        found = [(a, b, n) for a, b, n in _spread(words, template, counts, votes, missing) if n >= least]
+        return [Match(name, spots[a][1], spots[b][2], n, len(template)) for a, b, n in found]
+
+
+def _spread(
+    words: list[str], template: list[str], counts: Counter[str], votes: Counter[int], missing: int
+) -> list[tuple[int, int, int]]:
+    """(first word, last word, words aligned) of copies that do not overlap, in order of place.
+
+    ``votes`` has the places where a copy may begin. What lies before, between and behind copies
+    already found is searched again by itself, so copies that touch do not hide each other:
+    copies word for word first, then stretches little longer than the template, those with the
+    most votes first, then stretches three times as long.
+    """
+    size, found = len(template), []
+    starts = sorted(votes)
+    done = -1
+    for start in starts:
+        if start > done and words[start : start + size] == template:
+            done = start + size - 1
+            found.append((start, done, size))
+    # the last word of each copy found by its first, and the first words in order
+    order = sorted(starts, key=lambda s: (-votes[s], s))
+    tried: dict[tuple[int, int], tuple[int, int, int] | None] = {}
+    firsts, lasts = [f[0] for f in found], [f[1] for f in found]
+    for slacks in ((0, missing), (size,)):
+        again = True
+        while again:
+            again = False
+            for start in order:
+                low, high = _free(firsts, lasts, start - slacks[-1], start + size + slacks[-1], len(words))
+                for low, high in zip(low, high):
+                    best = None
+                    for slack in slacks:
+                        window = max(low, start - slack), min(high, start + size + slack)
+                        if window[1] - window[0] < size - missing:
+                            continue
+                        if window not in tried:
+                            tried[window] = _copy(words, template, counts, window, size - missing)
+                        if (copy := tried[window]) and (best is None or _gain(copy) > _gain(best)):
+                            best = copy
+                    if best:
+                        k = bisect_left(firsts, best[0])
+                        firsts.insert(k, best[0])
+                        lasts.insert(k, best[1])
+                        found.append(best)
+                        again = True
+    return sorted(found)
+
+
+def _free(firsts: list[int], lasts: list[int], low: int, high: int, end: int) -> tuple[list[int], list[int]]:
+    """Begins and ends of the stretches between ``low`` and ``high`` that no copy covers."""
+    k = max(0, bisect_left(lasts, low))
+    lows, highs, begin = [], [], max(0, low)
+    while k < len(firsts) and firsts[k] < high:
+        lows.append(begin)
+        highs.append(firsts[k])
+        begin = lasts[k] + 1
+        k += 1
+    return [*lows, begin], [*highs, min(end, high)]
+
+
+def _gain(copy: tuple[int, int, int]) -> int:
+    """Words aligned less the words between them that are not."""
+    first, last, n = copy
+    return 2 * n - (last + 1 - first)
+
+
+def _copy(
+    words: list[str], template: list[str], counts: Counter[str], window: tuple[int, int], least: int
+) -> tuple[int, int, int] | None:
+    low, high = window
+    here = Counter(words[low:high])
+    if sum(min(n, here[w]) for w, n in counts.items()) < least:
+        return None
+    pairs = align(words[low:high], template)
+    for run in (_tight(pairs), _dense(pairs, len(template))):
+        if len(run) >= least and run[-1][0] - run[0][0] < 1.5 * len(template):
+            return low + run[0][0], low + run[-1][0], len(run)
+    return None
+
+
+def _tight(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of all runs of pairs the one that gains most: a word aligned counts one, a word between less one."""
+    best, begin, top = (0, 0, 0), 0, None
+    for k, (i, _) in enumerate(pairs):
+        if top is None or i - 2 * k > top:
+            top, begin = i - 2 * k, k
+        gain = 2 * k - i + top
+        best = max(best, (gain + 1, -begin, k + 1))
+    return pairs[-best[1] : best[2]]
 
 
 def _dense(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:

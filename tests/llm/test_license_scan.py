@@ -37,3 +37,37 @@ def test_rows_keep_their_ids(docs):
     out = ls.scan_licenses(docs([(None, line), (1, None), (1, ""), (2, line * 2), (2, line * 2), (3, "é " * 50_000)])).collect()
     assert sorted((str(r.doc_id), len(r.matches)) for r in out) == [("1", 0), ("1", 0), ("2", 2), ("2", 2), ("3", 0), ("None", 1)]
     assert ls.scan_licenses(docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_copies_side_by_side_are_all_found():
+    line, mit = ls.TEMPLATES["Apache-2.0 line"], ls.TEMPLATES["MIT"]
+    for name, body, word, other in [("Apache-2.0 line", line, "under", "by"), ("MIT", mit, "granted", "given"), ("MIT", mit, "sell", "trade")]:
+        edited = body.replace(word, other)
+        for copies in ([body] * 2, [body] * 3, [edited, body], [body, edited], [edited] * 2, [body, edited, body], [edited, body, body]):
+            for before, between in (("See: ", " "), ("", " "), ("Copyright A ", " Copyright B "), ("word " * 500, " ")):
+                text = before + between.join(copies)
+                found = [m for m in _scan(text) if m.license == name]
+                assert [text[m.start : m.stop] for m in found] == [c.rstrip(".") for c in copies]
+                assert [m.matched for m in found] == [m.of - (c is edited) for m, c in zip(found, copies)]
+
+
+def test_copies_with_different_edits_do_not_mix():
+    line = ls.TEMPLATES["Apache-2.0 line"]
+    copies = [line.replace("Version", "Edition"), line.replace("under", "beneath")]
+    text = "See " + " ".join(copies)
+    assert [text[m.start : m.stop] + "." for m in _scan(text)] == copies
+
+
+def test_common_subsequence_is_longest():
+    import random
+
+    random.seed(3)
+    for _ in range(300):
+        a, b = (random.choices("abcd", k=random.randint(0, 12)) for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        pairs = ls._common_subsequence(a, b)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
