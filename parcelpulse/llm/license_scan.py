@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.llm.common import whole_text
+from parcelpulse.llm.license_texts import BODIES, DISTINCT, LINES, NOTICES
 
-#: Notices as licences ask for them, and how documents name them in one line.
+#: Notices as licences ask for them, how documents name them in one line, whole texts.
 TEMPLATES = {
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -57,8 +58,10 @@ TEMPLATES = {
     "GPL line": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC line": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-}
+} | NOTICES | LINES | BODIES
 WORD = regex.compile(r"[\p{L}\p{N}]+")
+#: Up to so many words a template is a line: words between those aligned stand only in place of others.
+LINE_WORDS = 16
 
 
 @dataclass(frozen=True)
@@ -167,6 +170,8 @@ class Scanner:
                 places.setdefault(w, []).append(i)
         found = []
         for name, template, counts in self.templates:
+            if len(words) < self.coverage * len(template):
+                continue
             present = sum(min(n, len(places.get(w, ()))) for w, n in counts.items())
             if present < self.coverage * len(template):
                 continue
@@ -188,13 +193,13 @@ class Scanner:
         for j, w in enumerate(template):
             at.setdefault(w, []).append(j)
         votes = Counter(mark - j for mark in marks for j in at[words[mark]])
-        least = len(template) - missing
-        found = [(a, b, n) for a, b, n in _spread(words, template, counts, votes, missing) if n >= least]
+        phrases = [p.split() for p in DISTINCT.get(name, ())]
+        found = _spread(words, template, counts, votes, missing, phrases)
         return [Match(name, spots[a][1], spots[b][2], n, len(template)) for a, b, n in found]
 
 
 def _spread(
-    words: list[str], template: list[str], counts: Counter[str], votes: Counter[int], missing: int
+    words: list[str], template: list[str], counts: Counter[str], votes: Counter[int], missing: int, phrases: list[list[str]]
 ) -> list[tuple[int, int, int]]:
     """(first word, last word, words aligned) of copies that do not overlap, in order of place.
 
@@ -204,14 +209,17 @@ def _spread(
     most votes first, then stretches three times as long.
     """
     size, found = len(template), []
-    starts = sorted(votes)
     done = -1
-    for start in starts:
-        if start > done and words[start : start + size] == template:
+    for start in sorted(votes):
+        if done < start < len(words) and words[start] == template[0] and words[start : start + size] == template:
             done = start + size - 1
             found.append((start, done, size))
-    # the last word of each copy found by its first, and the first words in order
-    order = sorted(starts, key=lambda s: (-votes[s], s))
+    # places where a long copy may begin are many once it lacks words: those close by share their stretches
+    step = max(1, missing // 4)
+    near: Counter[int] = Counter()
+    for start, n in votes.items():
+        near[start // step * step] += n
+    order = sorted(near, key=lambda s: (-near[s], s))
     tried: dict[tuple[int, int], tuple[int, int, int] | None] = {}
     firsts, lasts = [f[0] for f in found], [f[1] for f in found]
     for slacks in ((0, missing), (size,)):
@@ -219,15 +227,17 @@ def _spread(
         while again:
             again = False
             for start in order:
-                low, high = _free(firsts, lasts, start - slacks[-1], start + size + slacks[-1], len(words))
-                for low, high in zip(low, high):
+                lows, highs = _free(firsts, lasts, start - slacks[-1], start + step + size + slacks[-1], len(words))
+                for low, high in zip(lows, highs):
+                    if high - low < size - missing:
+                        continue
                     best = None
                     for slack in slacks:
-                        window = max(low, start - slack), min(high, start + size + slack)
+                        window = max(low, start - slack), min(high, start + step - 1 + size + slack)
                         if window[1] - window[0] < size - missing:
                             continue
                         if window not in tried:
-                            tried[window] = _copy(words, template, counts, window, size - missing)
+                            tried[window] = _copy(words, template, counts, window, size - missing, phrases)
                         if (copy := tried[window]) and (best is None or _gain(copy) > _gain(best)):
                             best = copy
                     if best:
@@ -258,7 +268,7 @@ def _gain(copy: tuple[int, int, int]) -> int:
 
 
 def _copy(
-    words: list[str], template: list[str], counts: Counter[str], window: tuple[int, int], least: int
+    words: list[str], template: list[str], counts: Counter[str], window: tuple[int, int], least: int, phrases: list[list[str]]
 ) -> tuple[int, int, int] | None:
     low, high = window
     here = Counter(words[low:high])
@@ -266,11 +276,27 @@ def _copy(
         return None
     pairs = align(words[low:high], template)
     for run in (_tight(pairs), _dense(pairs, len(template))):
-        if len(run) >= least and run[-1][0] - run[0][0] < 1.5 * len(template):
+        if len(run) >= least and run[-1][0] - run[0][0] < 1.5 * len(template) and _told(run, template, phrases):
             return low + run[0][0], low + run[-1][0], len(run)
     return None
 
 
+def _told(run: list[tuple[int, int]], template: list[str], phrases: list[list[str]]) -> bool:
+    """Whether each phrase is aligned side by side somewhere, and a line has no words too many."""
+    if len(template) <= LINE_WORDS and any(i - a > j - b for (a, b), (i, j) in zip(run, run[1:])):
+        return False
+    if not phrases:
+        return True
+    text_of = {j: i for i, j in run}
+    return all(
+        any(
+            template[j : j + len(p)] == p and j in text_of and all(text_of.get(j + k) == text_of[j] + k for k in range(len(p)))
+            for j in range(len(template) - len(p) + 1)
+        )
+        for p in phrases
+    )
+
+
 def _tight(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Of all runs of pairs the one that gains most: a word aligned counts one, a word between less one."""
     best, begin, top = (0, 0, 0), 0, None

@@ -71,3 +71,33 @@ def test_common_subsequence_is_longest():
         pairs = ls._common_subsequence(a, b)
         assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
+def test_no_other_licence_is_named():
+    told = {
+        "Released under the BSD License": {"BSD line"}, "Released under the Foo License": set(), "Released under the BSD 3-Clause License": {"BSD-3-Clause line"},
+        "Licensed under CC BY 4.0": {"CC-BY line"}, "Licensed under CC BY-SA 4.0": {"CC-BY-SA short line"}, "Licensed under CC BY-NC 4.0": {"CC-BY-NC line"},
+        "Licensed under CC BY-NC-SA 4.0": {"CC-BY-NC-SA line"}, "Licensed under the Apache License, Version 1.1": set(),
+        "Licensed under the GNU Lesser General Public License, version 3": {"LGPL-3.0 line"}, "Licensed under the MIT License": {"MIT line"},
+        "This work is licensed under the GNU General Public License, version 2": {"GPL-2.0 line"},
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": {"CC-BY long line"},
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": {"CC-BY-NC-SA long line"},
+        "The work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": {"CC-BY-NC long line"},
+    }
+    assert {t: {m.license for m in _scan(f"Intro words. {t}. More words")} for t in told} == told
+
+
+def test_every_template_names_itself():
+    for name, body in ls.TEMPLATES.items():
+        found = {m.license: m for m in _scan(f"Some words first. {body} And some after.")}
+        assert found[name].coverage == 1
+        near = {"Apache-2.0", "Apache-2.0 line", "GPL", "GPL-2.0", "LGPL-2.1", "MPL-2.0", "MPL-2.0 line", name}
+        assert set(found) <= near | ({"LGPL-3.0"} if name == "LGPL-3.0 text" else set()), (name, set(found))
+
+
+def test_whole_texts_with_edits():
+    for name in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "Apache-2.0", "MPL-2.0"):
+        words = ls.TEMPLATES[f"{name} text"].split()
+        edited = " ".join(w for i, w in enumerate(words) if i < 60 or i % 25)
+        found = [m for m in _scan(f"{edited}\n{edited}") if m.license.endswith(" text")]
+        assert [m.license for m in found] == [f"{name} text"] * 2 and all(m.coverage > 0.9 for m in found)
