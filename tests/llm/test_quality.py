@@ -55,3 +55,34 @@ def test_only_rejected_rows_go(docs):
     assert [str(r.doc_id) for r in out.collect()] == ["1", "1", "None"] and out.columns == docs(rows).columns
     assert {r.text for r in out.collect()} == {CLEAN}
     assert quality.keep_good(docs(rows).limit(0), PIECES).count() == 0
+
+
+def test_bands_reject_junk_and_keep_clean_text(spark):
+    random.seed(1)
+    letters = lambda low, n: " ".join("".join(chr(low + random.randrange(n)) for _ in range(random.randint(2, 9))) for _ in range(200))
+    junk = [letters(97, 26), " ".join(f"{random.getrandbits(32):08x}" for _ in range(200)), letters(0x10900, 27), letters(0x12000, 500)]
+    junk += [" ".join(chr(0x20000 + random.randrange(9000)) * 3 for _ in range(80)), " ".join(random.choice("ab") for _ in range(300))]
+    clean = {
+        "en": [CLEAN],
+        "de": ["Der alte Hafen liegt hinter zwei Hügeln, und Schiffe aus vielen Ländern laufen ihn jeden Frühling an, um Salz gegen Wolle zu tauschen."],
+        "fr": ["Le vieux port se trouve derrière deux collines, et des navires de nombreux pays y viennent encore chaque printemps échanger du sel."],
+        "es": ["El viejo puerto está detrás de dos colinas, y barcos de muchos países llegan todavía cada primavera para cambiar sal por lana."],
+        None: [
+            CLEAN,
+            "Il vecchio porto si trova dietro due colline e navi di molti paesi vi arrivano ancora ogni primavera per scambiare sale con lana.",
+            "Stary port leży za dwoma wzgórzami, a statki z wielu krajów wciąż zawijają tam każdej wiosny, aby wymieniać sól na wełnę.",
+            "Bến cảng cũ nằm sau hai ngọn đồi, và tàu từ nhiều nước vẫn ghé đến đó mỗi mùa xuân để đổi muối lấy len.",
+            "Старая гавань лежит за двумя холмами, и корабли из многих стран всё ещё заходят туда каждую весну, чтобы менять соль на шерсть.",
+            "Το παλιό λιμάνι βρίσκεται πίσω από δύο λόφους και πλοία από πολλές χώρες έρχονται ακόμη κάθε άνοιξη για να ανταλλάξουν αλάτι.",
+            "오래된 항구는 두 언덕 뒤에 있으며, 많은 나라의 배들이 아직도 매년 봄마다 소금을 양모와 바꾸러 온다.",
+            "旧 港口 位于 两座 小山 后面 ， 每年 春天 仍 有 来自 许多 国家 的 船只 来到 那里 用 盐 换 羊毛",
+            "يقع الميناء القديم خلف تلين، ولا تزال السفن من بلدان كثيرة تأتي إليه كل ربيع لتبادل الملح بالصوف.",
+            "पुराना बंदरगाह दो पहाड़ियों के पीछे है और कई देशों के जहाज अब भी हर वसंत में वहाँ नमक के बदले ऊन लेने आते हैं।",
+        ],
+    }
+    rows = [(0, t, lang) for lang in ("en", "de", "fr", "es", "xx", None) for t in junk]
+    rows += [(1, t, lang) for lang, texts in clean.items() for t in texts]
+    out = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES).collect()
+    assert len(out) == len(rows)
+    for r, (want, text, lang) in zip(out, rows):
+        assert r.kept == bool(want), (lang, text[:40], r)
