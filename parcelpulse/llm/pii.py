@@ -1,11 +1,11 @@
 """Personal data found by form, and the words that give it away, in DataFrame operations only.
 
 The base finds addresses, IPs, cards and phone numbers. A protected entity is such a value. A word
-next to it discloses it as far as ``PMI(entity; word) / IC(entity)`` says, with probabilities from
+of a text that holds it discloses it as far as ``PMI(entity; word) / IC(entity)`` says, with probabilities from
 the documents of the corpus: the information content ``IC = log(N / n_entity)`` is what the word
 would have to reveal, the pointwise mutual information what it does reveal. Words at or over a
-threshold, seen with the entity in several documents, are generalised, or removed if they occur
-with nothing else.
+threshold, seen with the entity in several documents, are generalised wherever they stand in such a
+text, or removed if they occur with nothing else.
 """
 
 from __future__ import annotations
@@ -31,18 +31,20 @@ FORMS = {
 #: What a text must hold for a match of a kind that counts; cheap to ask.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 IP = "^" + r"\.".join([r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"] * 4) + "$"
-#: A word in letters between white space, with marks behind it.
-WORD = r"(?<=\s)\p{L}{3,}(?=[.,;:!?)]{0,3}\s)"
-CONTEXT = 48
+#: A word in letters, whatever stands around it.
+WORD = r"\p{L}{3,}+"
 SLICE = 256
-SPAN = "struct<kind:string,start:bigint,stop:bigint,value:string,before:string,after:string>"
-TERM = "struct<kind:string,value:string,term:string,start:bigint,stop:bigint>"
+SPAN = "struct<kind:string,start:bigint,stop:bigint,value:string>"
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """A word is treated from ``threshold`` of the entity's information on, if it stands within
-    CONTEXT characters of the entity in at least ``support`` documents."""
+    """A word is treated from ``threshold`` of the entity's information on, if at least ``support``
+    documents hold both.
+
+    An entity of fewer documents is masked, but no word is judged by it: each word that occurs in
+    those documents only would tell all of it, whatever it means.
+    """
 
     threshold: float = 0.9
     support: int = 3
@@ -62,17 +64,8 @@ def _slices(items: Column) -> Column:
 
 
 def _items(matches: Column, gaps: Column) -> Column:
-    """Each match with the text before it since the last one, and what stands around it."""
-    n = F.size(matches)
-    return F.transform(
-        matches,
-        lambda m, i: F.struct(
-            F.length(F.get(gaps, i)).alias("gap"),
-            m.alias("m"),
-            F.right(F.concat(F.when(i == 0, "\n").otherwise(""), F.get(gaps, i)), F.lit(CONTEXT)).alias("before"),
-            F.left(F.concat(F.get(gaps, i + 1), F.when(i + 1 == n, "\n").otherwise("")), F.lit(CONTEXT)).alias("after"),
-        ),
-    )
+    """Each match with the length of the text before it since the last one."""
+    return F.transform(matches, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("m")))
 
 
 def _spans(kind: str, slices: Column) -> Column:
@@ -83,7 +76,6 @@ def _spans(kind: str, slices: Column) -> Column:
         start = acc.at + x.gap
         span = F.struct(
             F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(x.m)).alias("stop"), x.m.alias("value"),
-            x.before.alias("before"), x.after.alias("after"),
         )
         return F.struct((start + F.length(x.m)).alias("at"), F.concat(acc.out, F.array(span)).alias("out"))
 
@@ -143,97 +135,86 @@ def with_base_spans(docs: DataFrame, text: str = "text", into: str = "pii_") ->
     return settled(out, **{f"{into}spans": spans}).drop(*slices)
 
 
-def _terms_of(span: Column) -> Column:
-    """TERMs around a span: the words of both contexts with their places in the text."""
+def _entity(span: Column) -> Column:
     value = F.when(span.kind.isin("card", "phone"), _digits(span.value)).otherwise(F.lower(span.value))
-    both = F.array(
-        F.struct(span.before.alias("part"), (span.start - F.length(span.before)).alias("at")),
-        F.struct(span.after.alias("part"), span.stop.alias("at")),
-    )
-
-    def words(side: Column) -> Column:
-        found = F.regexp_extract_all(side.part, F.lit(WORD), F.lit(0))
-        gaps = F.split(side.part, WORD, -1)
-        zero = F.struct(side.at.alias("at"), F.array().cast(f"array<{TERM}>").alias("out"))
-
-        def add(acc: Column, x: Column) -> Column:
-            start = acc.at + F.length(x.gap)
-            term = F.struct(
-                span.kind.alias("kind"), value.alias("value"), F.lower(x.m).alias("term"), start.alias("start"), (start + F.length(x.m)).alias("stop")
-            )
-            return F.struct(term.stop.alias("at"), F.concat(acc.out, F.array(term)).alias("out"))
+    return F.struct(span.kind.alias("kind"), value.alias("value"))
 
-        items = F.transform(found, lambda m, i: F.struct(F.get(gaps, i).alias("gap"), m.alias("m")))
-        return F.aggregate(items, zero, add).out
 
-    return F.flatten(F.transform(both, words))
+def _words(text: str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def disclosing_spans(
+def disclosing_terms(
     based: DataFrame, texts: DataFrame, disclosure: Disclosure = Disclosure(), into: str = "pii_"
 ) -> DataFrame:
-    """(key, terms): for each text with base spans, known by its hash, the words to treat.
+    """(key, told): for each text with base spans, known by its hash, the words to treat.
 
     ``based`` comes from ``with_base_spans``, ``texts`` has the column text of the same rows. Counts are over all rows: copies of a text count
-    as often as they occur, but travel once. ``terms`` has (start, stop, alone): alone, if the
-    word occurs in no document without the entity beside it.
+    as often as they occur, but travel once. ``told`` has (term, alone): alone, if the word occurs
+    in no document without the entity; a word that discloses two is alone only if it is for both.
     """
     spans = F.col(f"{into}spans")
     contexts = (
         based.where(F.size(spans) > 0)
         .select(
             F.sha2(f"{into}text", 256).alias("key"),
-            F.array_distinct(
-                F.transform(
-                    spans,
-                    lambda s: F.struct(
-                        s.kind.alias("kind"),
-                        F.when(s.kind.isin("card", "phone"), _digits(s.value)).otherwise(F.lower(s.value)).alias("value"),
-                    ),
-                )
-            ).alias("entities"),
-            F.flatten(F.transform(spans, _terms_of)).alias("terms"),
+            F.array_distinct(F.transform(spans, _entity)).alias("entities"),
+            _words(f"{into}text").alias("words"),
         )
         .groupBy("key")
-        .agg(F.first("entities").alias("entities"), F.first("terms").alias("terms"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.first("entities").alias("entities"), F.first("words").alias("words"), F.count(F.lit(1)).alias("copies"))
     )
     contexts = staged(contexts, "pii-contexts")
-    of_entity = (
-        contexts.select(F.explode("entities").alias("e"), "copies").groupBy("e.kind", "e.value").agg(F.sum("copies").alias("n_entity"))
-    )
-    pairs = contexts.select(
-        F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t.kind.alias("kind"), t.value.alias("value"), t.term.alias("term"))))).alias("p"),
-        "copies",
-    )
-    pairs = pairs.groupBy("p.kind", "p.value", "p.term").agg(F.sum("copies").alias("n_both")).where(F.col("n_both") >= disclosure.support)
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0)))).alias("term"))
-    of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    holds = contexts.select("key", "copies", F.explode("entities").alias("e")).select("key", "copies", "e.kind", "e.value")
+    of_entity = holds.groupBy("kind", "value").agg(F.sum("copies").alias("n_entity"))
     rows = texts.agg(F.count(F.lit(1)).alias("n")).first().n
+    # no word stands with an entity in more documents than hold the entity
+    of_entity = staged(of_entity.where((F.col("n_entity") >= disclosure.support) & (F.col("n_entity") < rows)), "pii-entities")
+    holds = staged(holds.join(of_entity, ["kind", "value"]).select("key", "kind", "value"), "pii-holds")
+    per_text = holds.groupBy("key").agg(F.collect_list(F.struct("kind", "value")).alias("entities"))
+    pairs = contexts.select("key", "words", "copies").join(per_text, "key")
+    pairs = pairs.select(F.explode("entities").alias("e"), "words", "copies").select("e.kind", "e.value", F.explode("words").alias("term"), "copies")
+    pairs = pairs.groupBy("kind", "value", "term").agg(F.sum("copies").alias("n_both")).where(F.col("n_both") >= disclosure.support)
+    of_term = texts.select(F.explode(_words("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     missing = F.log(F.col("n_term") / F.col("n_both")) / F.log(F.lit(float(rows)) / F.col("n_entity"))
     told = (
         pairs.join(of_entity, ["kind", "value"])
         .join(of_term, "term")
-        .where((F.col("n_entity") < rows) & (1 - missing >= disclosure.threshold))
+        .where(1 - missing >= disclosure.threshold)
         .select("kind", "value", "term", (F.col("n_term") <= F.col("n_both")).alias("alone"))
     )
     told = staged(told, "pii-told")
     return (
-        contexts.select("key", F.explode("terms").alias("t"))
-        .select("key", "t.*")
-        .join(told, ["kind", "value", "term"])
+        holds.join(told, ["kind", "value"])
+        .groupBy("key", "term")
+        .agg(F.min("alone").alias("alone"))
         .groupBy("key")
-        .agg(F.collect_set(F.struct("start", "stop", "alone")).alias("found"))
-        .select("key", _one_each(F.col("found")).alias("terms"))
+        .agg(F.collect_list(F.struct("term", "alone")).alias("told"))
     )
 
 
-def _one_each(found: Column) -> Column:
-    """A word beside two entities is removed only if it must be for both."""
-    places = F.array_sort(F.array_distinct(F.transform(found, lambda t: F.struct(t.start.alias("start"), t.stop.alias("stop")))))
-    return F.transform(
-        places,
-        lambda p: F.struct(p.start.alias("start"), p.stop.alias("stop"), F.forall(found, lambda t: (t.start != p.start) | t.alone).alias("alone")),
+def _with_places(held: DataFrame, into: str) -> DataFrame:
+    """Adds ``<into>terms``: every place of the words in ``<into>told`` that no base span covers."""
+    body, told = F.col(f"{into}text"), F.col(f"{into}told")
+    none = F.array().cast("array<string>")
+    held = held.withColumns(
+        {
+            f"{into}m": F.when(told.isNotNull(), F.regexp_extract_all(body, F.lit(WORD), F.lit(0))).otherwise(none),
+            f"{into}g": F.when(told.isNotNull(), F.split(body, WORD, -1)).otherwise(none),
+        }
+    )
+    held = held.withColumn(f"{into}i", _items(F.col(f"{into}m"), F.col(f"{into}g"))).drop(f"{into}m", f"{into}g")
+    held = held.withColumn(f"{into}p", _slices(F.col(f"{into}i"))).drop(f"{into}i")
+    held = held.withColumn(f"{into}told", F.map_from_entries(told))
+    held = settled(held, **{f"{into}w": _spans("term", F.col(f"{into}p"))}).drop(f"{into}p")
+    marked = F.transform(
+        f"{into}w", lambda w: F.struct(w.start.alias("start"), w.stop.alias("stop"), F.try_element_at(F.col(f"{into}told"), F.lower(w.value)).alias("alone"))
+    )
+    clear = F.filter(
+        F.filter(marked, lambda w: w.alone.isNotNull()),
+        lambda w: ~F.exists(f"{into}spans", lambda s: (s.start < w.stop) & (w.start < s.stop)),
     )
+    return settled(held, **{f"{into}terms": clear}).drop(f"{into}w", f"{into}told")
 
 
 def find(docs: DataFrame, disclosure: Disclosure = Disclosure(), text: str = "text", into: str = "pii_") -> DataFrame:
@@ -245,13 +226,13 @@ def find(docs: DataFrame, disclosure: Disclosure = Disclosure(), text: str = "te
     without rows or without personal data give no terms.
     """
     based = with_base_spans(docs, text, into)
-    terms = staged(disclosing_spans(based, docs.select(whole_text(text).alias("text")), disclosure, into), "pii-terms")
+    terms = staged(disclosing_terms(based, docs.select(whole_text(text).alias("text")), disclosure, into), "pii-terms")
     none = F.array().cast("array<struct<start:bigint,stop:bigint,alone:boolean>>")
     size = F.size(f"{into}spans")
     clean = based.where(size == 0).withColumn(f"{into}terms", none)
     held = based.where(size > 0).withColumn(f"{into}key", F.sha2(f"{into}text", 256))
-    found = terms.select(F.col("key").alias(f"{into}key"), F.col("terms").alias(f"{into}terms"))
-    held = held.join(found, f"{into}key", "left").withColumn(f"{into}terms", F.coalesce(f"{into}terms", none)).drop(f"{into}key")
+    found = terms.select(F.col("key").alias(f"{into}key"), F.col("told").alias(f"{into}told"))
+    held = _with_places(held.join(found, f"{into}key", "left").drop(f"{into}key"), into)
     return clean.unionByName(held)
 
 

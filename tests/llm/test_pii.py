@@ -87,6 +87,17 @@ def test_sanitised_text_keeps_other_columns(spark, docs):
     assert pii.sanitise(docs([(1, "a")])).columns == docs([(1, "a")]).columns
 
 
+def test_terms_are_found_wherever_they_stand(spark):
+    far = "and so on and on with more of the same plain words as before, then "
+    rows = [(i, f"(Zebulon) wrote: {far * 3}boss@x.org is it. {far * 20}Ask 'Zebulon's' friend, Mary-Zebulon {i}.") for i in range(3)]
+    rows += [(10 + i, f"Someone wrote: {far} number {i}. Ask a friend, Mary.") for i in range(60)]
+    found = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(3):
+        text = rows[i][1]
+        assert [(t.start, t.stop, t.alone) for t in found[i].pii_terms] == [(m.start(), m.end(), True) for m in re.finditer("Zebulon", text)]
+    assert all(not found[i].pii_terms for i in range(10, 70))
+
+
 def test_no_python_on_the_main_path(spark):
     plan = pii.find(_corpus(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
