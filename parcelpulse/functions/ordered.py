@@ -2,9 +2,11 @@
 
 A group (a month, a class, a split) may hold a third of all rows, so nothing here
 sorts or buffers a whole group in one task. Equal values are counted first, which
-combines on the map side. Every value also belongs to a bin that is a monotone
-function of the value alone, hence the same on every recomputation. Totals per
-bin place each bin in the order of its group; only within a bin are values sorted.
+combines on the map side. The counted values are then dealt into ranges of (group,
+value) that hold about equally many of them, however close together they lie, and
+stored with the number of their range. Totals per range, of which a group has no more
+than there are ranges, place each range in the order of its group; values are sorted
+within their range only.
 """
 
 from __future__ import annotations
@@ -15,14 +17,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.joins import null_safe_join
+from parcelpulse.session import staged
 
-BINS_PER_OCTAVE = 1024
+RANGE = "__range"
 
 
-def value_bin(value: Column) -> Column:
-    """Monotone bin of a double: about 0.07 % of its size wide."""
-    size = F.floor(F.log2(F.lit(1.0) + F.abs(value)) * BINS_PER_OCTAVE)
-    return (F.signum(value) * size).cast("long")
+def in_ranges(df: DataFrame, order: Sequence[str | Column], tag: str = "ranges") -> DataFrame:
+    """The stored rows with ``__range``, the number of the range of ``order`` that a row falls into.
+
+    Ranges are cut by counts of a sample, as many as the session has shuffle partitions. They are
+    stored, since another sample would cut them elsewhere. Rows equal in ``order`` share a range.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.repartitionByRange(n, *order).withColumn(RANGE, F.spark_partition_id()), tag)
 
 
 def count_values(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -51,12 +58,12 @@ def percentiles(
     probabilities wanted of each measure.
     """
     keys = [*by, "measure"]
-    counts = count_values(df, by, measures).withColumn("bin", value_bin(F.col("value")))
+    counts = in_ranges(count_values(df, by, measures), [*keys, "value"])
     group = Window.partitionBy(*keys)
     bins = (
-        counts.groupBy(*keys, "bin")
+        counts.groupBy(*keys, RANGE)
         .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("upto", F.sum("n").over(group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("total", F.sum("n").over(group))
         .withColumn("before", F.col("upto") - F.col("n"))
     )
@@ -65,7 +72,7 @@ def percentiles(
     )
 
     def targets(end: str) -> Column:
-        """Rank within the bin of the lower or upper neighbour of each percentile."""
+        """Rank within the range of the lower or upper neighbour of each percentile."""
         snap = F.floor if end == "lo" else F.ceil
 
         def target(p: Column) -> Column:
@@ -81,9 +88,9 @@ def percentiles(
         "targets",
         F.filter(F.concat(targets("lo"), targets("hi")), lambda t: (t["rank"] >= 0) & (t["rank"] < F.col("n"))),
     ).where(F.size("targets") > 0)
-    within = Window.partitionBy(*keys, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*keys, RANGE).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     hits = (
-        null_safe_join(counts, bins.select(*keys, "bin", "targets"), [*keys, "bin"])
+        null_safe_join(counts, bins.select(*keys, RANGE, "targets"), [*keys, RANGE])
         .withColumn("upto", F.sum("n").over(within))
         .select(*keys, "value", "n", "upto", F.explode("targets").alias("t"))
         .where((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n")))
@@ -110,32 +117,28 @@ def percentile_name(measure: str, prob: float) -> str:
 
 
 def running_totals(
-    counts: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], descending: bool = True
+    counts: DataFrame, by: Sequence[str], value: str | Sequence[str], sums: Sequence[str], descending: bool = True
 ) -> DataFrame:
-    """Running and total sums over the values of each group.
+    """Running and total sums over the rows of each group in the order of ``value``.
 
-    ``counts`` has one row per group and value. Adds ``cum_<s>`` (this value
-    included) and ``tot_<s>`` for each summed column.
+    Adds ``cum_<s>`` (this row included) and ``tot_<s>`` for each summed column. Rows equal in
+    ``by`` and ``value`` are summed one after the other, in any order.
     """
-    def direction(name: str) -> Column:
-        return F.col(name).desc() if descending else F.col(name).asc()
-
-    binned = counts.withColumn("bin", value_bin(F.col(value)))
+    order = [F.col(v).desc() if descending else F.col(v).asc() for v in ([value] if isinstance(value, str) else value)]
+    ranged = in_ranges(counts, [*by, *order])
     group = Window.partitionBy(*by)
-    earlier = group.orderBy(direction("bin")).rowsBetween(Window.unboundedPreceding, -1)
-    bins = binned.groupBy(*by, "bin").agg(*[F.sum(s).alias(s) for s in sums])
-    bins = bins.select(
-        *by, "bin",
+    earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*by, RANGE).agg(*[F.sum(s).alias(s) for s in sums])
+    totals = totals.select(
+        *by, RANGE,
         *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums],
         *[F.sum(s).over(group).alias(f"tot_{s}") for s in sums],
     )
-    within = (
-        Window.partitionBy(*by, "bin").orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    out = null_safe_join(binned, bins, [*by, "bin"])
+    within = Window.partitionBy(*by, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = null_safe_join(ranged, totals, [*by, RANGE])
     for s in sums:
         out = out.withColumn(f"cum_{s}", F.col(f"before_{s}") + F.sum(s).over(within))
-    return out.drop("bin", *[f"before_{s}" for s in sums])
+    return out.drop(RANGE, *[f"before_{s}" for s in sums])
 
 
 def most_frequent(df: DataFrame, key: Sequence[str], value: str, weight: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.text import strip
@@ -104,6 +104,5 @@ def carrier_coverage(base: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def top_carriers(per_order: DataFrame, k: int = 10) -> DataFrame:
     """The k carriers with most orders, and the number of all orders with a carrier."""
     counts = per_order.groupBy("carrier_code", "carrier_name").agg(F.count(F.lit(1)).alias("n"))
-    # one row per carrier reaches this window
-    counts = counts.withColumn("n_total", F.sum("n").over(Window.partitionBy(F.lit(1))))
-    return counts.orderBy(F.col("n").desc(), "carrier_code", F.col("carrier_name").asc_nulls_first()).limit(k)
+    top = counts.orderBy(F.col("n").desc(), "carrier_code", F.col("carrier_name").asc_nulls_first()).limit(k)
+    return top.withColumn("n_total", per_order.agg(F.count(F.lit(1)).alias("n_total")).scalar())

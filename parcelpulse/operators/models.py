@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelpulse.functions.ordered import running_totals
 from parcelpulse.session import new_folder, staged
 from parcelpulse.sources.schemas import UNKNOWN
 
@@ -47,15 +48,9 @@ def _text(column: str) -> Column:
 
 
 def _ranked(values: DataFrame) -> DataFrame:
-    """Labels with their place in sorted order, from 0: counted per beginning, ranked within it."""
-    start = F.left("value", F.lit(2))
-    before = Window.partitionBy("feature").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    values = values.withColumn("start", start)
-    starts = values.groupBy("feature", "start").agg(F.count(F.lit(1)).alias("n"))
-    starts = starts.select("feature", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("feature", "start").orderBy("value"))
-    ranked = values.withColumn("nth", within).join(starts, ["feature", "start"])
-    return ranked.select("feature", "value", (F.col("offset") + F.col("nth") - 1).cast("int").alias("code"))
+    """Labels with their place in sorted order, from 0, counted by ranges of labels."""
+    placed = running_totals(values.withColumn("one", F.lit(1)), ["feature"], "value", ["one"], descending=False)
+    return placed.select("feature", "value", (F.col("cum_one") - 1).cast("int").alias("code"))
 
 
 def fit_encoder(

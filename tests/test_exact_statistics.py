@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelpulse.functions.ordered import most_frequent, percentiles, running_totals, value_bin
+from parcelpulse.functions.ordered import RANGE, in_ranges, most_frequent, percentiles, running_totals
 from parcelpulse.operators import diagnostics as dg
 from parcelpulse.operators import evaluation as ev
+from parcelpulse.operators import models
 
 
 def _sample(seed=3):
@@ -35,12 +36,35 @@ def test_percentiles_without_groups_and_without_rows(spark):
     assert percentiles(df.where("v > 99").withColumn("g", F.lit("a")), ["g"], {"v": F.col("v")}, {"v": [0.5]}).count() == 0
 
 
-def test_value_bin_is_monotone(spark):
-    rng = random.Random(1)
-    values = sorted({rng.uniform(-1e6, 1e6) for _ in range(2000)} | {rng.uniform(-1, 1) for _ in range(2000)})
-    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bin(F.col("v")).alias("b"))
-    bins = [r.b for r in df.orderBy("v").collect()]
-    assert bins == sorted(bins)
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_close_values_are_spread_over_ranges(spark, many_ranges):
+    close = spark.range(1_000_000).select((5000 + F.col("id") / 1_000_000).alias("v"))
+    held = in_ranges(close, ["v"]).groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("z"))
+    held = held.orderBy(RANGE).collect()
+    assert len(held) == 100 and max(r.n for r in held) < 2 * 10_000
+    assert all(x.z < y.a for x, y in zip(held, held[1:]))
+    got = percentiles(close, [], {"v": F.col("v")}, {"v": [0.25, 0.5]}).first()
+    assert got["v__25"] == pytest.approx(5000 + 249_999.75 / 1e6, rel=1e-12)
+
+
+def test_labels_with_one_beginning_are_ranked_in_ranges(spark, many_ranges):
+    labels = spark.range(100_000).select(F.lit("seller").alias("feature"), F.format_string("seller_%09d", "id").alias("value"), "id")
+    assert models._ranked(labels).join(labels, ["feature", "value"]).where("code <> id").count() == 0
+    held = in_ranges(labels, ["feature", "value"]).groupBy(RANGE).count().collect()
+    assert len(held) == 100 and max(r["count"] for r in held) < 2 * 1_000
+
+
+def test_running_totals_over_two_columns(spark):
+    rows = [("a", 1, "y", 3), ("a", 1, "x", 2), ("a", 0, "z", 5), (None, 9, "q", 7), ("b", 4, None, 1), ("b", 4, "r", 6)]
+    df = spark.createDataFrame(rows, "g string, u int, v string, n long")
+    got = {(r.g, r.u, r.v): (r.cum_n, r.tot_n) for r in running_totals(df, ["g"], ["u", "v"], ["n"], descending=False).collect()}
+    assert got == {("a", 0, "z"): (5, 10), ("a", 1, "x"): (7, 10), ("a", 1, "y"): (10, 10), (None, 9, "q"): (7, 7), ("b", 4, None): (1, 7), ("b", 4, "r"): (7, 7)}
 
 
 def test_running_totals(spark):
