@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parcelpulse.llm import bpe_codec, embed_dedup, license_scan, minhash, packing, pii, quality, token_counts, token_store, url_filter
+from parcelpulse.llm import bpe_codec, conversation_repair, embed_dedup, filter_audit, license_scan, minhash, mixing
+from parcelpulse.llm import packing, pii, quality, token_counts, token_store, url_filter
 from parcelpulse.llm.common import table
 from parcelpulse.session import new_folder
 
@@ -88,6 +89,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE[0], public_tokenizers.PATTERN)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), [5.0, 2.0, 1.0])
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(conversation_repair.clean_rows(conversations))
+    return conversation_repair.audit_conversations(conversations, rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_license_scan": op2_license_scan,
@@ -99,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_mixing": op11_mixing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -120,4 +139,68 @@ ORACLE_SQL: dict[str, str] = {
               ON (s.host = h OR ends_with(s.host, '.' || h)) AND starts_with(s.path, p)
             GROUP BY ALL)
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best""",
+    "op11_mixing": """
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+                   md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS digest
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size, sum(size)::DOUBLE * 3 AS cap,
+                   [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+            FROM sized GROUP BY source),
+        -- the level of the water is the highest of those got by clamping the first sources by cap and weight
+        cuts AS (
+            SELECT sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS words,
+                   sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight
+            FROM sources WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        targets AS (
+            SELECT source, source_size, least(cap, weight * (SELECT max(words / weight) FROM cuts)) AS target FROM sources),
+        quotas AS (SELECT *, round(target)::BIGINT AS quota FROM targets),
+        placed AS (
+            SELECT doc_id, size, source_size, target, quota,
+                   sum(size) OVER (PARTITION BY d.source ORDER BY digest, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+            FROM sized d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source)
+        SELECT doc_id, size, source_size, round(target, 6) AS target,
+               CASE WHEN source_size = 0 THEN 0
+                    ELSE (quota // source_size) * size + greatest(0, least(quota % source_size - upto + size, size)) END::BIGINT AS taken
+        FROM placed""",
+    "op12_filter_audit": """
+        WITH RECURSIVE labelled AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        words AS (
+            SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS found, min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
+        failed AS (
+            SELECT w.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+                   CASE WHEN len(found) < 200 THEN 1 ELSE 0 END
+                 + CASE WHEN 100 * len(list_distinct(found)) < 50 * len(found) THEN 2 ELSE 0 END
+                 + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+                 + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+                 + CASE WHEN coalesce(first < w.doc_id, false) THEN 16 ELSE 0 END AS mask
+            FROM words w LEFT JOIN labelled l ON w.doc_id = l.doc_id),
+        masks AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+            FROM failed GROUP BY part, mask),
+        orders(filter_order, before) AS (
+            SELECT '', 0
+            UNION ALL
+            SELECT filter_order || f, before + (1 << i)
+            FROM orders, (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)) AS letters(f, i)
+            WHERE NOT contains(filter_order, f)),
+        steps AS (
+            SELECT o.filter_order, s.step, 1 << (ascii(substr(o.filter_order, s.step, 1)) - 65) AS own,
+                   list_sum([1 << (ascii(x) - 65) FOR x IN string_split(substr(o.filter_order, 1, s.step - 1), '') IF x <> '']) AS earlier
+            FROM orders o, (VALUES (1), (2), (3), (4), (5)) AS s(step) WHERE length(o.filter_order) = 5),
+        counted AS (
+            SELECT m.part, s.filter_order, s.step, s.own,
+                   sum(CASE WHEN mask & (coalesce(earlier, 0) | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN mask & coalesce(earlier, 0) = 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN mask & coalesce(earlier, 0) <> 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN mask & coalesce(earlier, 0) = 0 AND mask & own <> 0 THEN n_good ELSE 0 END)::BIGINT AS good_lost,
+                   sum(CASE WHEN mask & coalesce(earlier, 0) = 0 AND mask & own <> 0 THEN n_toxic ELSE 0 END)::BIGINT AS toxic_lost
+            FROM masks m, steps s GROUP BY ALL)
+        SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM counted""",
 }
