@@ -231,7 +231,9 @@ def with_faults(ordered: DataFrame) -> DataFrame:
         "repair-narrow",
     )
     places = narrow.groupBy("same").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    joined = narrow.join(places.where("first < last").select("same", "first"), "same", "left")
+    # stored, so that both sides of the join are plain exchanges, of which a hot one can be split
+    again_at = staged(places.where("first < last").select("same", "first"), "repair-repeats")
+    joined = narrow.join(again_at, "same", "left")
     again = F.coalesce(F.col("first") < F.col("pos"), F.lit(False)) & (F.col("fault") != "blank")
     return joined.withColumn("fault", F.when(again, "duplicate").otherwise(F.col("fault"))).drop("same", "first")
 

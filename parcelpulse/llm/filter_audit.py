@@ -101,7 +101,8 @@ def with_repeats(masks: DataFrame) -> DataFrame:
     nor larger than another; rows that repeat one id with one text do not fail for each other.
     """
     least = masks.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = least.where(F.col("first") < F.col("last")).select("key", "first")
+    # stored, so that both sides of the join are plain exchanges, of which a hot one can be split
+    shared = staged(least.where(F.col("first") < F.col("last")).select("key", "first"), "audit-shared")
     joined = masks.join(shared, "key", "left")
     again = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     return joined.withColumn("mask", F.col("mask").bitwiseOR(F.when(again, SAME_TEXT).otherwise(0))).drop("key", "first")
