@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassificationModel,
-)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.ordered import running_totals
+from parcelpulse.operators import boosting
+from parcelpulse.operators.boosting import Ensemble, TreeSettings
 from parcelpulse.session import new_folder, staged
 from parcelpulse.sources.schemas import UNKNOWN
 
@@ -106,62 +108,138 @@ def _train_and_val(df: DataFrame) -> DataFrame:
     return df.where(F.col("split_set").isin("train", "val")).withColumn("is_val", F.col("split_set") == "val")
 
 
-@dataclass(frozen=True)
-class TreeSettings:
-    """Boosting ends at the first round that makes the validation split worse, and keeps the best."""
-
-    rounds: int = 100
-    step: float = 0.05
-    depth: int = 6
-    min_rows: int = 200
-    feature_share: float = 0.8
-    row_share: float = 0.8
-    seed: int = 42
-
-
 @dataclass(frozen=True)
 class Fitted:
-    model: Model
+    """``models`` has one model, or one per class that tells it from the rest; ``curves`` their validation losses."""
+
+    models: tuple[Model, ...]
     encoder: Encoder
     classes: tuple[str, ...] = ()
     offset: float | None = None
+    curves: tuple[tuple[float, ...], ...] = ()
+
+    @property
+    def model(self) -> Model:
+        return self.models[0]
 
     def vectors(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         return _vector(encode(df, self.encoder, keep), self.encoder)
 
 
+_ENCODER = "numeric array<string>, categorical array<string>"
+_FITTED = f"{_ENCODER}, classes array<string>, offset double, kind string, n_models int, curves array<array<double>>"
+_MONTHLY = f"{_ENCODER}, months array<string>, losses array<double>"
+
+
+def _save_encoder(encoder: Encoder, folder: str) -> tuple[list[str], list[str]]:
+    if encoder.table is not None:
+        encoder.table.write.parquet(f"{folder}/labels")
+    return list(encoder.numeric), list(encoder.categorical)
+
+
+def _load_encoder(spark: SparkSession, folder: str, numeric: Sequence[str], categorical: Sequence[str]) -> Encoder:
+    if not categorical:
+        return Encoder(tuple(numeric))
+    return _encoder(numeric, categorical, spark.read.parquet(f"{folder}/labels"))
+
+
 def save_fitted(fitted: Fitted, folder: str) -> None:
-    """Model, label table and settings as files, for another session to score with."""
-    fitted.model.save(f"{folder}/model")
-    if fitted.encoder.table is not None:
-        fitted.encoder.table.write.parquet(f"{folder}/labels")
-    row = [(list(fitted.encoder.numeric), list(fitted.encoder.categorical), list(fitted.classes), fitted.offset, type(fitted.model).__name__)]
-    schema = "numeric array<string>, categorical array<string>, classes array<string>, offset double, kind string"
-    spark = SparkSession.active()
-    spark.createDataFrame(row, schema).write.json(f"{folder}/settings")
+    """Models, label table, validation curves and settings as files, for another session to score with."""
+    for k, model in enumerate(fitted.models):
+        model.save(f"{folder}/model-{k}")
+    kind = type(fitted.model).__name__
+    row = (*_save_encoder(fitted.encoder, folder), list(fitted.classes), fitted.offset, kind, len(fitted.models), [list(c) for c in fitted.curves])
+    SparkSession.active().createDataFrame([row], _FITTED).write.json(f"{folder}/settings")
 
 
 def load_fitted(spark: SparkSession, folder: str) -> Fitted:
-    schema = "numeric array<string>, categorical array<string>, classes array<string>, offset double, kind string"
-    kept = spark.read.schema(schema).json(f"{folder}/settings").first()
-    kinds = (GBTClassificationModel, GBTRegressionModel, RandomForestClassificationModel, OneVsRestModel)
-    model = {k.__name__: k for k in kinds}[kept.kind].load(f"{folder}/model")
-    encoder = Encoder(tuple(kept.numeric))
-    if kept.categorical:
-        encoder = _encoder(kept.numeric, kept.categorical, spark.read.parquet(f"{folder}/labels"))
-    return Fitted(model, encoder, tuple(kept.classes or ()), kept.offset)
+    kept = spark.read.schema(_FITTED).json(f"{folder}/settings").first()
+    kind = {k.__name__: k for k in (GBTClassificationModel, GBTRegressionModel)}[kept.kind]
+    models = tuple(kind.load(f"{folder}/model-{k}") for k in range(kept.n_models))
+    encoder = _load_encoder(spark, folder, kept.numeric, kept.categorical)
+    return Fitted(models, encoder, tuple(kept.classes or ()), kept.offset, tuple(map(tuple, kept.curves or ())))
+
+
+def curve_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
+    """(model, round, loss, kept): the validation loss after each round and whether the model has it."""
+    rows = [
+        (k, n, loss, n <= model.getNumTrees) for k, (model, curve) in enumerate(zip(fitted.models, fitted.curves)) for n, loss in enumerate(curve, 1)
+    ]
+    return spark.createDataFrame(rows, "model int, round int, loss double, kept boolean")
+
+
+def boosting_rows(rows: DataFrame, encoder: Encoder, keep: Sequence[str], label: Column, weight: Column | None = None) -> DataFrame:
+    """(features, label, w, is_val and ``keep``) of the train and val rows; stored, as every round reads them."""
+    known = _train_and_val(rows).withColumn("label", label.cast("double"))
+    known = known.withColumn("w", (F.lit(1.0) if weight is None else weight).cast("double"))
+    kept = ["label", "w", "is_val", *keep]
+    return staged(_vector(encode(known, encoder, kept), encoder).select("features", *kept), "vectors")
 
 
 def fit_risk(dataset: DataFrame, encoder: Encoder, settings: TreeSettings = TreeSettings()) -> Fitted:
-    """Boosted trees for the disruption label, over all training months at once."""
-    rows = _train_and_val(dataset).withColumn("label", F.col("target_binario").cast("double"))
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.rounds,
-        stepSize=settings.step, maxDepth=settings.depth, minInstancesPerNode=settings.min_rows,
-        featureSubsetStrategy=str(settings.feature_share), subsamplingRate=settings.row_share,
-        maxBins=_max_bins(encoder), seed=settings.seed,
-    )
-    return Fitted(trees.fit(_vector(encode(rows, encoder, ["label", "is_val"]), encoder)), encoder)
+    """Boosted trees for the disruption label; the validation split decides how many rounds are kept."""
+    rows = boosting_rows(dataset, encoder, [], F.col("target_binario"))
+    model, curve = boosting.fit_patient(GBTClassifier, rows, settings, _max_bins(encoder))
+    return Fitted((model,), encoder, curves=(curve,))
+
+
+@dataclass(frozen=True)
+class Continued:
+    """A fit continued period by period: the trees that each added and the validation loss after it."""
+
+    periods: tuple[str, ...]
+    parts: tuple[Ensemble, ...]
+    losses: tuple[float | None, ...]
+    fitted: Fitted
+
+    @property
+    def whole(self) -> Ensemble:
+        return reduce(Ensemble.plus, self.parts, Ensemble())
+
+
+def fit_risk_continued(
+    dataset: DataFrame, numeric: Sequence[str], categorical: Sequence[str], settings: TreeSettings = TreeSettings(),
+    first: int = 200, more: int = 50, period: str = "year_month",
+) -> Continued:
+    """Boosting continued over the periods of training, the oldest first.
+
+    Labels are learned from the first period. It gets ``first`` rounds and each later one ``more``,
+    on its own rows alone and from the margins of all trees so far; nothing is cut. The
+    validation rows, of which later periods are never trained on, say what each was good for.
+    """
+    train = dataset.where(F.col("split_set") == "train")
+    periods = [r[0] for r in train.select(period).distinct().orderBy(period).collect()]  # periods, no rows
+    encoder = fit_encoder(train.where(F.col(period) == periods[0]), numeric, categorical)
+    rows = boosting_rows(dataset, encoder, [period], F.col("target_binario"))
+    val = rows.where("is_val").persist()
+    parts, losses, whole = [], [], Ensemble()
+    for nth, p in enumerate(periods):
+        own = rows.where((F.col(period) == p) & ~F.col("is_val"))
+        part = boosting.constant(own) if nth == 0 else Ensemble()
+        part = part.plus(boosting.go_on(own, whole.plus(part), first if nth == 0 else more, settings, _max_bins(encoder)))
+        whole = whole.plus(part)
+        parts.append(part)
+        losses.append(boosting.mean_loss(val, whole))
+    val.unpersist()
+    return Continued(tuple(periods), tuple(parts), tuple(losses), Fitted((whole.classifier(),), encoder))
+
+
+def save_continued(continued: Continued, folder: str) -> None:
+    """The part of each period in a folder of its own, beside labels, settings and losses."""
+    for nth, part in enumerate(continued.parts):
+        part.regression().save(f"{folder}/part-{nth}")
+    row = (*_save_encoder(continued.fitted.encoder, folder), list(continued.periods), list(continued.losses))
+    SparkSession.active().createDataFrame([row], _MONTHLY).write.json(f"{folder}/settings")
+
+
+def load_continued(spark: SparkSession, folder: str) -> Continued:
+    """The parts put together again."""
+    kept = spark.read.schema(_MONTHLY).json(f"{folder}/settings").first()
+    models = [GBTRegressionModel.load(f"{folder}/part-{nth}") for nth in range(len(kept.months))]
+    parts = tuple(Ensemble(tuple(m.trees), tuple(m.treeWeights)) for m in models)
+    encoder = _load_encoder(spark, folder, kept.numeric, kept.categorical)
+    whole = reduce(Ensemble.plus, parts, Ensemble())
+    return Continued(tuple(kept.months), parts, tuple(kept.losses), Fitted((whole.classifier(),), encoder))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -177,23 +255,24 @@ def fit_leg(
 ) -> Fitted:
     """Boosted trees for the class of the broken leg, of three or four, with balanced class weights.
 
-    Boosting of Spark ML knows two classes, so each class is told from the rest.
+    Boosting of Spark ML knows two classes, so each class is told from the rest, and stops by its own
+    validation curve. The classes are fitted side by side.
     """
     names = F.array(*[F.lit(c) for c in classes])
-    rows = dataset.where(F.col("split_set") == "train")
-    weights = {r[label]: r.peso for r in class_weights(rows, label).collect()}  # one row per class
+    known = dataset.where(F.col(label).isin(*classes))
+    weights = {r[label]: r.peso for r in class_weights(known.where(F.col("split_set") == "train"), label).collect()}  # one row per class
     weight = F.lit(0.0)
     for c, w in weights.items():
         weight = F.when(F.col(label) == c, float(w)).otherwise(weight)
-    rows = rows.withColumn("label", (F.array_position(names, F.col(label)) - 1).cast("double")).withColumn("w", weight)
-    trees = GBTClassifier(
-        maxIter=settings.rounds, stepSize=settings.step, maxDepth=settings.depth,
-        minInstancesPerNode=settings.min_rows, featureSubsetStrategy=str(settings.feature_share),
-        subsamplingRate=settings.row_share, maxBins=_max_bins(encoder), seed=settings.seed,
-    )
-    each = OneVsRest(classifier=trees, featuresCol="features", labelCol="label", weightCol="w", parallelism=len(classes))
-    model = each.fit(_vector(encode(rows, encoder, ["label", "w"]), encoder))
-    return Fitted(model, encoder, classes=tuple(classes))
+    rows = boosting_rows(known, encoder, [], F.array_position(names, F.col(label)) - 1, weight)
+
+    def one(k: int) -> tuple[Model, tuple[float, ...]]:
+        own = rows.withColumn("label", (F.col("label") == k).cast("double"))
+        return boosting.fit_patient(GBTClassifier, own, settings, _max_bins(encoder))
+
+    with ThreadPoolExecutor(len(classes)) as side_by_side:
+        fits = list(side_by_side.map(one, range(len(classes))))
+    return Fitted(tuple(m for m, _ in fits), encoder, tuple(classes), curves=tuple(c for _, c in fits))
 
 
 def fit_hours(
@@ -202,15 +281,9 @@ def fit_hours(
 ) -> Fitted:
     """Boosted regression on log1p(target + offset); rows outside its domain are left out of the fit."""
     shifted = F.col(target) + F.lit(offset)
-    rows = _train_and_val(dataset).where(shifted > -1).withColumn("label", F.log1p(shifted))
-    trees = GBTRegressor(
-        featuresCol="features", labelCol="label", validationIndicatorCol="is_val", validationTol=0.0, maxIter=settings.rounds,
-        stepSize=settings.step, maxDepth=settings.depth, minInstancesPerNode=settings.min_rows,
-        featureSubsetStrategy=str(settings.feature_share), subsamplingRate=settings.row_share,
-        maxBins=_max_bins(encoder), seed=settings.seed,
-    )
-    model = trees.fit(_vector(encode(rows, encoder, ["label", "is_val"]), encoder))
-    return Fitted(model, encoder, offset=offset)
+    rows = boosting_rows(dataset.where(shifted > -1), encoder, [], F.log1p(shifted))
+    model, curve = boosting.fit_patient(GBTRegressor, rows, settings, _max_bins(encoder))
+    return Fitted((model,), encoder, offset=offset, curves=(curve,))
 
 
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str], threshold: float = 0.5) -> DataFrame:
@@ -234,9 +307,14 @@ def predictions(fitted: Fitted, dataset: DataFrame, threshold: float = 0.5) -> D
 
 
 def leg_predictions(fitted: Fitted, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The class that its model is surest of, the first of equal ones."""
+    scored = fitted.vectors(df, keep)
+    for k, model in enumerate(fitted.models):
+        of_class = model.copy().setProbabilityCol(f"__p{k}").setRawPredictionCol("").setPredictionCol("")
+        scored = of_class.transform(scored)
+    chances = F.array(*[F.struct(vector_to_array(F.col(f"__p{k}"))[1].alias("p"), F.lit(-k).alias("k")) for k in range(len(fitted.classes))])
     names = F.array(*[F.lit(c) for c in fitted.classes])
-    scored = fitted.model.transform(fitted.vectors(df, keep))
-    return scored.select(*keep, F.get(names, F.col("prediction").cast("int")).alias("pred"))
+    return scored.select(*keep, F.get(names, -F.array_max(chances)["k"]).alias("pred"))
 
 
 def hours_predictions(fitted: Fitted, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from parcelpulse.plans.oracle_base import HIGH_SEASON, hours, with_layers
+from parcelpulse.sources import schemas as S
 
 _FLOW_ROUNDED = """* REPLACE (round(horas_a_shipment_confirmed, 6) AS horas_a_shipment_confirmed,
     round(horas_a_out_for_delivery, 6) AS horas_a_out_for_delivery,
@@ -460,10 +461,24 @@ _SQL |= {
         SELECT modelo, split_set, count(*) AS n, true AS auc_ok, true AS boosted
         FROM ml, (VALUES ('creacion'), ('flujo')) m(modelo) GROUP BY 1, 2""",
     "leg_scores_checked": f"""
-        SELECT logistic_order_id, year_month, split_set, clase_tramo AS clase, true AS pred_ok
+        SELECT logistic_order_id, year_month, split_set, clase_tramo AS clase, true AS pred_ok, true AS f1_ok
         FROM ({_SQL["leg_population"]}) JOIN (SELECT logistic_order_id, year_month FROM ml) USING (logistic_order_id)""",
     "hours_regression_checked": """
-        SELECT logistic_order_id, year_month, split_set, round(target_horas_totales, 4) AS horas, true AS pred_ok FROM pop""",
+        SELECT logistic_order_id, year_month, split_set, round(target_horas_totales, 4) AS horas, true AS pred_ok, true AS r2_ok FROM pop""",
+    "leg_scores_of_four_checked": """
+        SELECT logistic_order_id, year_month, split_set, target_tramo AS clase, true AS pred_ok, true AS f1_ok
+        FROM ml WHERE ciclo_completo = 1 AND target_tramo IS NOT NULL""",
+    "continued_boosting_checked": """
+        SELECT periodo, CASE WHEN row_number() OVER (ORDER BY periodo) = 1 THEN 41 ELSE 10 END::INTEGER AS arboles,
+               true AS perdida_ok, true AS no_peor
+        FROM (SELECT DISTINCT left(year_month, 4) AS periodo FROM ml WHERE split_set = 'train')""",
+    "boosting_curve_checked": "SELECT true AS ultimo_es_minimo, true AS paciencia_ok, true AS limite_ok",
+    "feature_importance_checked": f"""
+        SELECT feature, true AS gain_ok, true AS split_ok, true AS suma_ok
+        FROM (VALUES {", ".join(f"('{c}')" for c in [*S.CREATION_NUMERIC, *S.HISTORY_NUMERIC, "service_category", "franja_horaria"])}) f(feature)""",
+    "experiment_grid_checked": """
+        SELECT experimento, split_set, count(*) AS n, true AS errores_ok, true AS r2_ok
+        FROM pop, (VALUES ('reg_v2a'), ('reg_v2b'), ('reg_v2c')) e(experimento) GROUP BY 1, 2""",
     "score_new_orders_checked": f"""
         SELECT pedido, fuente, true AS prob_ok, true AS porcentaje_ok FROM ({_SQL["new_order_features"]})""",
     "score_itineraries_checked": f"""

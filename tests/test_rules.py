@@ -3,10 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.times import day_band, hours_between, parse_iso, weekday
-from parcelpulse.operators import baselines, carriers, evaluation, features, flow, lookups, models, orders, quality, scoring
+from parcelpulse.operators import baselines, boosting, carriers, evaluation, features, flow, lookups, models, orders, quality, scoring
 from parcelpulse.operators import replay, staging, timeline
 from parcelpulse.sources import schemas as S
 
@@ -326,6 +327,7 @@ def test_boosting_boosts_and_survives_its_files(spark, tmp_path):
     tree = models.TreeSettings(rounds=25, step=0.2, depth=3, min_rows=5)
     one, many = models.fit_risk(rows, enc, models.TreeSettings(rounds=1, step=0.2, depth=3, min_rows=5)), models.fit_risk(rows, enc, tree)
     val = models._vector(models.encode(rows.where("split_set = 'val'").withColumn("label", F.col("target_binario").cast("double")), enc, ["label"]), enc)
+    val = val.withColumn("w", F.lit(1.0))
     loss = [m.model.evaluateEachIteration(val)[-1] for m in (one, many)]
     assert len(many.model.trees) > 5 and loss[1] < 0.8 * loss[0]
     models.save_fitted(many, str(tmp_path / "m"))
@@ -337,6 +339,58 @@ def test_boosting_boosts_and_survives_its_files(spark, tmp_path):
     assert set(splits) == {"x", "y", "c"} and min(splits.values()) > 0
 
 
+def test_patience_outlasts_a_dip():
+    falls, dip = [10.0 - n for n in range(5)], [6.5] * 4
+    assert boosting.best_round([*falls, *dip, 5.0, 7.0, 7.0, 7.0], 5) == (10, False)
+    assert boosting.best_round([*falls, *dip, 5.0], 4) == (5, True)
+    assert boosting.best_round([3.0, 3.0, 3.0], 2) == (1, True)
+    assert boosting.best_round([3.0, 2.0], 50) == (2, False)
+
+
+def test_late_improvement_is_kept(spark, monkeypatch):
+    """The curve dips first; the model has the trees up to the later minimum, and fits went on until patience ended."""
+    rows = models.boosting_rows(_boosting_rows(spark), models.fit_encoder(_boosting_rows(spark), ["x", "y"], ["c"]), [], F.col("target_binario"))
+    settings = models.TreeSettings(rounds=8, step=0.3, depth=2, min_rows=5, patience=2)
+    asked = []
+
+    class Watched(GBTClassifier):
+        def fit(self, df):
+            model = super().fit(df)
+            asked.append(self.getMaxIter())
+            curve = [1.0, 0.9, 0.95, 0.8, 0.85, 0.7, 0.71, 0.72]
+            monkeypatch.setattr(type(model), "evaluateEachIteration", lambda m, _: curve[: m.getNumTrees])
+            return model
+
+    monkeypatch.setattr(boosting, "GBTClassifier", Watched)
+    model, curve = boosting.fit_patient(Watched, rows, settings)
+    assert asked == [6, 8] and model.getNumTrees == 6 and len(curve) == 8
+
+
+def test_cut_model_equals_a_shorter_fit(spark):
+    enc = models.fit_encoder(_boosting_rows(spark), ["x", "y"], ["c"])
+    rows = models.boosting_rows(_boosting_rows(spark), enc, [], F.col("target_binario"))
+    long, short = (boosting.fit_patient(GBTClassifier, rows.withColumn("is_val", F.lit(False)), models.TreeSettings(rounds=n, step=0.2, depth=3, min_rows=5))[0] for n in (12, 5))
+    a, b = ([tuple(r.probability) for r in m.transform(rows).select("probability").collect()] for m in (boosting.cut(long, 5), short))
+    assert a == b and boosting.cut(long, 5).getNumTrees == 5
+
+
+def test_continued_boosting_goes_on_from_its_margin(spark, tmp_path):
+    """Two periods whose labels have different causes: the second's trees add to the first's, and files hold it all."""
+    rows = _boosting_rows(spark).withColumn("p", F.when(F.col("k") % 2 == 0, "a").otherwise("b"))
+    tree = models.TreeSettings(step=0.3, depth=3, min_rows=5)
+    fit = models.fit_risk_continued(rows, ["x", "y"], ["c"], tree, first=12, more=6, period="p")
+    assert fit.periods == ("a", "b") and [len(p.trees) for p in fit.parts] == [13, 6]
+    assert fit.losses[1] < fit.losses[0] < 0.5
+    models.save_continued(fit, str(tmp_path / "c"))
+    again = models.load_continued(spark, str(tmp_path / "c"))
+    key = ["k", "target_binario"]
+    a, b = (sorted(map(tuple, models.score(f.fitted, rows, key).collect())) for f in (fit, again))
+    assert a == b and again.losses == fit.losses and len(again.whole.trees) == 19
+    # by hand: the margin of a row is the sum of its trees, and the first trees alone give the first period's loss
+    vectors = models.boosting_rows(rows, again.fitted.encoder, [], F.col("target_binario"))
+    assert boosting.mean_loss(vectors.where("is_val"), fit.parts[0]) == pytest.approx(fit.losses[0], abs=1e-9)
+
+
 def test_leg_model_of_four_classes(spark):
     rows = _boosting_rows(spark).withColumn("clase", F.concat(F.lit("k"), F.floor(F.col("x") / 26).cast("string")))
     enc = models.fit_encoder(rows, ["x", "y"], ["c"])
