@@ -26,8 +26,8 @@ class SplitRule:
         return F.when(month < self.val_from, "train").when(month < self.test_from, "val").otherwise("test")
 
 
-def ml_dataset(orders: DataFrame, split: SplitRule) -> DataFrame:
-    """One row per order: what is known at creation, and the labels."""
+def ml_dataset(orders: DataFrame, split: SplitRule, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per row of the facts: what is known at creation, the labels, and the columns in ``keep``."""
     created = F.col("created_at")
     flags = ["is_click_and_collect", "is_high_season", "has_insurance"]
     return orders.select(
@@ -45,9 +45,21 @@ def ml_dataset(orders: DataFrame, split: SplitRule) -> DataFrame:
         F.col("actor_responsable").alias("target_actor"),
         F.col("hours_total").alias("target_horas_totales"),
         F.col("hours_total").isNotNull().cast("int").alias("ciclo_completo"),
+        *keep,
     )
 
 
+def one_per_order(dataset: DataFrame) -> DataFrame:
+    """The latest row of each order, of two of one month the one of the largest type.
+
+    An order has a row per month and type it has events of; what is looked up by its id alone needs one.
+    """
+    rest = [c for c in dataset.columns if c != "logistic_order_id"]
+    order = F.struct("year_month", "source_order_type", F.xxhash64(*rest))
+    latest = dataset.groupBy("logistic_order_id").agg(F.max_by(F.struct(*rest), order).alias("r"))
+    return latest.select("logistic_order_id", "r.*").select(*dataset.columns)
+
+
 # Historical rates: output column, grouping columns.
 RATES: dict[str, list[str]] = {
     "seller_tasa_disrupcion": ["seller_id"],
@@ -101,11 +113,14 @@ def dataset_with_history(dataset: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def leg_population(dataset: DataFrame, orders: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Completed orders with a leg label, with the hours of each leg from the fact table."""
-    facts = orders.where(F.col("hours_total") > 0).select("logistic_order_id", "year_month", *columns)
-    base = dataset.where((F.col("ciclo_completo") == 1) & F.col("target_tramo").isNotNull())
-    return base.join(facts, ["logistic_order_id", "year_month"])
+def leg_population(orders: DataFrame, split: SplitRule, columns: Sequence[str]) -> DataFrame:
+    """Completed orders with a leg label, with the hours of each leg.
+
+    Features, label and hours come from one row of the facts, so nothing is joined and no row doubled
+    where an order has two types in one month.
+    """
+    known = ml_dataset(orders.where(F.col("hours_total") > 0), split, columns)
+    return known.where((F.col("ciclo_completo") == 1) & F.col("target_tramo").isNotNull())
 
 
 def hours_population(dataset: DataFrame) -> DataFrame:

@@ -349,7 +349,7 @@ def dataset_join_history(w: Warehouse) -> DataFrame:
 
 @query
 def leg_population(w: Warehouse) -> DataFrame:
-    rows = ft.leg_population(w.dataset, w.orders, ["hours_deposito", "hours_despacho", "hours_ultima_milla"])
+    rows = ft.leg_population(w.orders, B.SPLITS, ["hours_deposito", "hours_despacho", "hours_ultima_milla"])
     return rows.select(
         "logistic_order_id", "split_set", "hours_deposito", "hours_despacho", "hours_ultima_milla",
         ft.leg_class(F.col("target_tramo")).alias("clase_tramo"),
@@ -467,8 +467,7 @@ def package_journeys(w: Warehouse) -> DataFrame:
 
 @query
 def order_360(w: Warehouse) -> DataFrame:
-    history = _rounded(w.history, *ft.RATES)
-    return lk.order_360(w.dataset, history, w.disruptions, lk.event_digest(w.package_events))
+    return lk.order_360(_rounded(w.dataset_with_history, *ft.RATES), lk.event_digest(w.package_events))
 
 
 @query
@@ -477,8 +476,30 @@ def order_events_until(w: Warehouse) -> DataFrame:
     seen = lk.events_until(w.package_events, "2024-01-12 00:00:00").groupBy("logistic_order_id").agg(
         F.count(F.lit(1)).alias("n_eventos"), F.max("event_dt").alias("ultimo_evento")
     )
-    base = lk.order_base(w.dataset, _rounded(w.history, *ft.RATES), w.disruptions)
-    return base.join(seen, "logistic_order_id", "left")
+    return lk.order_base(_rounded(w.dataset_with_history, *ft.RATES)).join(seen, "logistic_order_id", "left")
+
+
+def _moments(w: Warehouse) -> DataFrame:
+    """Five moments of each order of its own, counted from its first event."""
+    first = w.package_events.groupBy("logistic_order_id").agg(F.min("event_dt").alias("first"))
+    hours = F.explode(F.array(*[F.lit(h) for h in (-1, 0, 36, 240, 2000)])).alias("horas")
+    return first.select("logistic_order_id", "first", hours).select(
+        "logistic_order_id", "horas", F.timestamp_add("HOUR", F.col("horas"), F.col("first")).alias("momento")
+    )
+
+
+@query
+def order_state_at(w: Warehouse) -> DataFrame:
+    """What was known of each order at moments of its own."""
+    return lk.state_at(_moments(w), w.package_events)
+
+
+@query
+def package_event_pages(w: Warehouse) -> DataFrame:
+    """Event lists of each package in pages of ten, as text."""
+    pages = lk.package_pages(lk.journey(w.package_events), 10)
+    as_text = F.transform("eventos", lambda e: F.concat_ws("|", e.n_evento, F.date_format(e.event_dt, "yyyy-MM-dd HH:mm:ss"), e.event_type, e.package_status))
+    return pages.select("logistic_order_id", "package_key", "pagina", F.array_join(as_text, ";").alias("eventos"), "ultimo_estado", "horas_max_gap")
 
 
 @query
@@ -567,7 +588,7 @@ def leg_scores(w: Warehouse) -> DataFrame:
 
 def leg_scores_of(w: Warehouse) -> DataFrame:
     legs = ["hours_deposito", "hours_despacho", "hours_ultima_milla"]
-    rows = ft.leg_population(w.dataset, w.orders, legs).withColumn("clase", ft.leg_class(F.col("target_tramo")))
+    rows = ft.leg_population(w.orders, B.SPLITS, legs).withColumn("clase", ft.leg_class(F.col("target_tramo")))
     rows = staged(rows, "leg-rows")
     def build() -> ml.Fitted:
         enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
@@ -908,7 +929,7 @@ def first_alert(w: Warehouse) -> DataFrame:
 
 @query
 def replay_summary(w: Warehouse) -> DataFrame:
-    return rp.replay_summary(_scored(w), rp.order_outcomes(w.dataset, w.disruptions))
+    return rp.replay_summary(_scored(w), rp.order_outcomes(w.dataset))
 
 
 @query
@@ -918,7 +939,7 @@ def replay_with_model(w: Warehouse) -> DataFrame:
 
 
 def replay_scores_of(w: Warehouse) -> DataFrame:
-    known = w.dataset_with_history.drop("year_month")
+    known = ft.one_per_order(w.dataset_with_history).drop("year_month")
     rows = rp.prefix_features(w.package_events).join(known, "logistic_order_id")
     keep = ["logistic_order_id", "n_hito", "event_dt", "package_status", "n_hito_eventos"]
     return ml.score(_flow_risk(w), rows.withColumn("n_hito_eventos", F.col("n_eventos_total")), keep)

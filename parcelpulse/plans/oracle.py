@@ -313,6 +313,27 @@ _SQL: dict[str, str] = {
                      round({hours('lag(event_dt) OVER w', 'event_dt')}, 6) AS gap
               FROM status_log WINDOW w AS (PARTITION BY logistic_order_id, package_id ORDER BY event_dt, event_id))
         GROUP BY 1, 2""",
+    "package_event_pages": f"""
+        SELECT logistic_order_id, package_key, (n - 1) // 10 AS pagina,
+               string_agg(concat_ws('|', n, strftime(event_dt, '%Y-%m-%d %H:%M:%S'), event_type, package_status), ';' ORDER BY n) AS eventos,
+               arg_max(package_status, n) AS ultimo_estado, max(gap) AS horas_max_gap
+        FROM (SELECT *, coalesce(package_id, 'SIN_PACKAGE_ID') AS package_key, row_number() OVER w AS n,
+                     round({hours('lag(event_dt) OVER w', 'event_dt')}, 6) AS gap
+              FROM status_log WINDOW w AS (PARTITION BY logistic_order_id, package_id ORDER BY event_dt, event_id))
+        GROUP BY 1, 2, 3""",
+    "order_state_at": f"""
+        WITH first AS (SELECT logistic_order_id, min(event_dt) AS first FROM status_log GROUP BY 1),
+        moments AS (SELECT logistic_order_id, horas, first + to_hours(horas) AS momento
+                    FROM first, (VALUES (-1), (0), (36), (240), (2000)) h(horas)),
+        seen AS (SELECT *, count(*) OVER w AS n, max(CASE WHEN package_status = 'DELIVERY_ATTEMPTED' THEN 1 ELSE 0 END) OVER w AS attempted,
+                        max(CASE WHEN package_status = 'EXCEPTION' THEN 1 ELSE 0 END) OVER w AS excepted,
+                        max(CASE WHEN package_status = 'ANNULLED' THEN 1 ELSE 0 END) OVER w AS annulled
+                 FROM status_log WINDOW w AS (PARTITION BY logistic_order_id ORDER BY event_dt, event_id))
+        SELECT m.logistic_order_id, m.horas::INTEGER AS horas, m.momento, coalesce(e.n, 0)::BIGINT AS n_eventos,
+               e.event_dt AS ultimo_evento, e.package_status AS ultimo_estado, round({hours('e.event_dt', 'm.momento')}, 6) AS horas_desde_evento,
+               coalesce(attempted, 0)::INTEGER AS tuvo_delivery_attempted, coalesce(excepted, 0)::INTEGER AS tuvo_exception,
+               coalesce(annulled, 0)::INTEGER AS tuvo_annulled
+        FROM moments m ASOF LEFT JOIN seen e ON m.logistic_order_id = e.logistic_order_id AND m.momento >= e.event_dt""",
     "order_360": """
         SELECT m.logistic_order_id, m.year_month, m.split_set, m.service_category, m.is_click_and_collect, m.is_high_season,
                m.has_insurance, m.total_items, m.distinct_skus, m.dia_semana_creacion, m.hora_creacion, m.dia_mes_creacion,

@@ -407,6 +407,67 @@ def test_rates_do_not_double_rows(spark):
     assert [(r.source_order_type, r.seller_n_ordenes, r.categoria_tasa_disrupcion) for r in got] == [("x", 2, 1.0), ("y", 2, 1.0), ("x", None, 0.0)]
 
 
+def _two_types(spark):
+    """Facts of one order with two types in a month and a row in another month, and of a plain one."""
+    columns = {
+        "is_click_and_collect": False, "is_high_season": False, "has_insurance": False, "total_items": 1.0, "distinct_skus": 1,
+        "created_at": T(2025, 1, 3, 10), "promised_date_to": T(2025, 1, 9), "service_category": "A", "seller_id": "s1", "created_by": "c",
+        "actor_responsable": "x", "hours_total": 50.0, "hours_deposito": 1.0, "hours_despacho": 2.0, "hours_ultima_milla": 47.0,
+    }
+    rows = [("1", "2025-01", "P", "ultima_milla", True), ("1", "2025-01", "F", "deposito", True), ("1", "2025-02", "F", "sin_disrupcion", False), ("2", "2025-01", "F", "despacho", False)]
+    facts = spark.createDataFrame([(*r, *columns.values()) for r in rows], "logistic_order_id string, year_month string, source_order_type string, tramo_disruptivo string, "
+        "is_disrupted boolean, is_click_and_collect boolean, is_high_season boolean, has_insurance boolean, total_items double, distinct_skus int, created_at timestamp_ntz, "
+        "promised_date_to timestamp_ntz, service_category string, seller_id string, created_by string, actor_responsable string, hours_total double, hours_deposito double, "
+        "hours_despacho double, hours_ultima_milla double")
+    return facts, features.ml_dataset(facts, features.SplitRule())
+
+
+def test_two_types_of_an_order_keep_their_rows(spark):
+    facts, dataset = _two_types(spark)
+    legs = features.leg_population(facts, features.SplitRule(), ["hours_deposito"])
+    assert sorted((r.logistic_order_id, r.year_month, r.source_order_type, r.target_tramo) for r in legs.collect()) == [
+        ("1", "2025-01", "F", "deposito"), ("1", "2025-01", "P", "ultima_milla"), ("1", "2025-02", "F", "sin_disrupcion"), ("2", "2025-01", "F", "despacho")
+    ]
+    rated = features.with_rates(dataset, features.rate_tables(dataset))
+    events = spark.createDataFrame([("1", T(2025, 1, 4), "X", 1), ("1", T(2025, 1, 5), "Y", 2)], "logistic_order_id string, event_dt timestamp_ntz, package_status string, event_id long")
+    full = lookups.order_360(rated, lookups.event_digest(events)).collect()
+    assert sorted((r.logistic_order_id, r.year_month, r.tramo_disruptivo or "") for r in full) == [
+        ("1", "2025-01", "deposito"), ("1", "2025-01", "ultima_milla"), ("1", "2025-02", ""), ("2", "2025-01", "")
+    ]
+    assert lookups.order_base(rated).count() == 4
+    outcomes = {r.logistic_order_id: (r.target_binario, r.tramo_disruptivo) for r in replay.order_outcomes(dataset).collect()}
+    assert outcomes == {"1": (1, "deposito"), "2": (0, None)}
+    one = {r.logistic_order_id: (r.year_month, r.source_order_type) for r in features.one_per_order(dataset).collect()}
+    assert one == {"1": ("2025-02", "F"), "2": ("2025-01", "F")}
+    scored = replay.prefix_features(events).withColumn("prob", F.lit(0.9))
+    assert replay.replay_summary(scored, replay.order_outcomes(dataset)).count() == 1
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_state_at_many_moments_of_a_hot_order(spark, limit):
+    """Against a plain look at all earlier events, with ties, moments between, before and at events."""
+    events = [("hot", T(2025, 1, 1) + dt.timedelta(hours=(7 * i) % 40), ["A", S.EXCEPTION, "B", None][i % 4], i) for i in range(40)] + [("one", T(2025, 1, 1), "A", 99), ("hot", None, "Z", 100)]
+    moments = [("hot", T(2024, 12, 31) + dt.timedelta(minutes=45 * i), i) for i in range(90)] + [("none", T(2025, 1, 1), -1), ("one", None, -2), ("one", T(2025, 1, 1), -3), ("one", T(2025, 1, 1), -3)]
+    e = spark.createDataFrame(events, "logistic_order_id string, event_dt timestamp_ntz, package_status string, event_id long")
+    m = spark.createDataFrame(moments, "logistic_order_id string, momento timestamp_ntz, nth int")
+    got = lookups.state_at(m, e, limit=limit).collect()
+    assert len(got) == len(moments)
+    for r in got:
+        seen = sorted((x[1], x[3], x[2]) for x in events if x[0] == r.logistic_order_id and x[1] and r.momento and x[1] <= r.momento)
+        last = seen[-1] if seen else (None, None, None)
+        assert (r.n_eventos, r.ultimo_evento, r.ultimo_estado) == (len(seen), last[0], last[2])
+        assert r.tuvo_exception == int(any(x[2] == S.EXCEPTION for x in seen))
+
+
+def test_pages_hold_the_journey(spark):
+    rows = [("1", "p", "s", None, "T", T(2025, 1, 1) + dt.timedelta(hours=i * i), f"S{i % 3}", i) for i in range(25)]
+    e = spark.createDataFrame(rows, "logistic_order_id string, package_id string, shipment_id string, promised_date string, event_type string, event_dt timestamp_ntz, package_status string, event_id long")
+    pages = lookups.package_pages(lookups.journey(e), 10).orderBy("pagina").collect()
+    assert [len(p.eventos) for p in pages] == [10, 10, 5] and [p.ultimo_estado for p in pages] == ["S0", "S1", "S0"]
+    assert [x.event_dt for p in pages for x in p.eventos] == [r[5] for r in rows]
+    assert [x.n_evento for p in pages for x in p.eventos] == list(range(1, 26)) and pages[0].horas_max_gap == 17.0
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 3, "c string")
     assert {r.c: r.peso for r in models.class_weights(df, "c").collect()} == {"a": 0.75, "b": 1.5}
