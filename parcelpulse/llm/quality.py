@@ -3,6 +3,10 @@
 Fertility: a text in the words of its language needs few tokens per character, few bytes that
 the vocabulary falls back on, and many different tokens. Each measure has a band per language,
 else per script of most words, else a default; a text outside of its band is rejected.
+
+A tokenizer takes digits one by one, so a number says nothing about the language around it. Words of
+digits and their signs therefore don't count among the characters per token, the bytes and the entropy;
+they have a limit of their own, their share of the characters in words.
 """
 
 from __future__ import annotations
@@ -30,13 +34,15 @@ MOST_REPEATED = 20
 @dataclass(frozen=True)
 class Band:
     """Characters per token within two bounds, at most a share of fallback bytes, and at least an
-    entropy in bits, which is asked of texts with ``from_tokens`` tokens or more only."""
+    entropy in bits, which is asked of texts with ``from_tokens`` tokens or more only; all of words
+    that are no numbers. Numbers are at most a share ``numbers`` of the characters in words."""
 
     least: float
     most: float
     byte_share: float
     entropy: float = 2.5
     from_tokens: int = 64
+    numbers: float = 0.6
 
 
 #: By language as the table names it, then by script as Unicode names it (LATIN MARKED, where a fifth of
@@ -58,6 +64,9 @@ BANDS = {
     "HANGUL": Band(0.45, 5.0, 0.5, 3.6),
     "": Band(0.5, 7.0, 0.5, 3.6),
 }
+#: What a word of a number is made of, digits and the signs that go with them.
+NUMBER_SIGNS = b"0123456789.,:;+-/%()'$"
+DIGITS = frozenset(b"0123456789")
 #: Share of words with letters beyond ASCII from which a text in Latin script is marked.
 MARKED = 0.2
 
@@ -78,12 +87,15 @@ class Fertility:
         self.kind = np.dtype(np.uint32)
         self.memo: dict[bytes, bytes] = {}
         self.scripts: dict[bytes, str] = {}
+        self.numbers: set[bytes] = set()
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
             self.scripts.clear()
+            self.numbers.clear()
         new = list(words.difference(self.memo))
+        self.numbers.update(filter(is_number, new))
         for at in range(0, len(new), 4096):
             run = [w.decode() for w in new[at : at + 4096]]
             found = self.model.encode(run, num_threads=1)
@@ -104,6 +116,11 @@ class Fertility:
         return chars / len(ids), float(self.is_byte[ids].mean()), float(-(p * np.log2(p)).sum()), len(ids), script
 
 
+def is_number(word: bytes) -> bool:
+    """Digits, and no letters."""
+    return not word.strip(NUMBER_SIGNS) and not DIGITS.isdisjoint(word)
+
+
 @lru_cache(maxsize=2)
 def fertility(path: str) -> Fertility:
     return Fertility(path)
@@ -142,18 +159,21 @@ def _judge(fertile: Fertility, texts: list[str], langs: list[str | None], bands:
     fertile.learn({w for words in split for w in words})
     for text, lang, words in zip(texts, langs, split, strict=True):
         chars = len(text) - sum(map(text.count, SPACES))
+        numbers = [w for w in words if w in fertile.numbers]
+        letters = [w for w in words if w not in fertile.numbers] if numbers else words
+        digits = sum(map(len, numbers))
         repeated = repeated_words(words)
         failed = len(words) < FEWEST_WORDS or 100 * repeated > MOST_REPEATED * len(words)
-        found = fertile.measure(words, chars)
+        found = fertile.measure(letters, chars - digits)
         fits = False
         if found:
             per_token, share, entropy, n, script = found
             band = bands.get(lang or "") if lang else None
-            if band is None and script == "LATIN" and sum(not w.isascii() for w in words) >= MARKED * len(words):
+            if band is None and script == "LATIN" and sum(not w.isascii() for w in letters) >= MARKED * len(letters):
                 band = bands.get("LATIN MARKED")
             band = band or bands.get(script) or bands[""]
             fits = band.least <= per_token <= band.most and share <= band.byte_share
-            fits = fits and (n < band.from_tokens or entropy >= band.entropy)
+            fits = fits and (n < band.from_tokens or entropy >= band.entropy) and digits <= band.numbers * chars
         yield {
             "n_words": len(words), "word_chars": chars, "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": duplicate_lines(text),
             "n_repeat_words": repeated, "base_failed": failed, "kept": fits and not failed,

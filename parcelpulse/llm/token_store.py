@@ -15,13 +15,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelpulse.llm.common import MEMO_WORDS, binary_column, whole_text
+from parcelpulse.llm.common import MEMO_WORDS, binary_column, runs_of, whole_text
 from parcelpulse.session import staged
 
 BLOCK = 1 << 20
+#: Bytes of the rows whose words are numbered together; a longer text comes alone.
+RUN_BYTES = 1 << 23
 #: Bits between two running counts of a plane.
 STRIDE = 512
 
@@ -189,12 +192,25 @@ class WordIds:
         self.memo.update((word, self.memo[core] + self.memo[marks]) for word, core, marks in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. All words of the texts are numbered at once, so that only different ones
+        are looked up; the ids of a text are then gathered by the numbers of its words."""
         if len(self.memo) > 4 * MEMO_WORDS:
             self.memo.clear()
-        split = [t.encode().split() for t in texts]
-        self._learn(list(set().union(*split).difference(self.memo)))
-        known = self.memo.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))  # at the six ASCII spaces only
+        numbered = split.flatten().dictionary_encode()
+        different = numbered.dictionary.cast(pa.binary()).to_pylist()
+        self._learn([w for w in different if w not in self.memo])
+        parts = list(map(self.memo.__getitem__, different))
+        ids, codes = np.frombuffer(b"".join(parts), self.kind), numbered.indices.to_numpy(zero_copy_only=False)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.kind).itemsize
+        own = sizes[codes]
+        ends = np.cumsum(own)
+        # the place of each token: where its word's ids begin, and how far into them it is
+        shift = (np.cumsum(sizes) - sizes)[codes] - (ends - own)
+        gathered = ids[np.repeat(shift, own) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.r_[0, ends][split.offsets.to_numpy() - split.offsets[0].as_py()]
+        raw, width = gathered.tobytes(), np.dtype(self.kind).itemsize
+        return [raw[a:b] for a, b in zip((bounds[:-1] * width).tolist(), (bounds[1:] * width).tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -225,13 +241,22 @@ def write_shards(
     bounds = rows.agg(F.percentile_approx("doc_id", steps, 10_000).alias("b")).first().b if steps else None
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from parcelpulse.llm.common import runs_of
-
         words = word_ids(vocabulary)
         end = np.array([end_id], words.kind).tobytes()
+
+        def made() -> pa.RecordBatch:
+            keys, texts = (pa.concat_arrays([b.column(c) for b in held]) for c in range(2))
+            ids = [x + end for run in runs_of(texts.to_pylist(), RUN_BYTES) for x in words.encode(run)]
+            return pa.RecordBatch.from_arrays([keys, binary_column(ids)], ["doc_id", "ids"])
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            ids = [x + end for run in runs_of(batch.column(1).to_pylist()) for x in words.encode(run)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary_column(ids)], ["doc_id", "ids"])
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= RUN_BYTES:
+                yield made()
+                held = []
+        if held:
+            yield made()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = word_ids(vocabulary).kind

@@ -86,3 +86,22 @@ def test_bands_reject_junk_and_keep_clean_text(spark):
     assert len(out) == len(rows)
     for r, (want, text, lang) in zip(out, rows):
         assert r.kept == bool(want), (lang, text[:40], r)
+
+
+def test_numbers_are_judged_apart_from_words(spark):
+    """Prose full of prices stays and measures like the same prose without them; tables of numbers, hexadecimal
+    words and one sentence over and over with other numbers go."""
+    prices = "The shop on the corner sold 3 apples for 2.50, 12 pears for $7.20, 40 eggs for 11.99, 6 loaves for 18.00 and 2 hams for 44.90 on Friday."
+    plain = " ".join(w for w in prices.split() if not any(c.isdigit() for c in w))
+    table = " ".join(f"{i},{i * i}.{i % 7}" for i in range(100, 300)) + " total"
+    same = " ".join(f"Number {i} of {i * i} differs from {i * 7}." for i in range(300))
+    mixed = " ".join(f"{random.getrandbits(32):08x}" for _ in range(200))
+    rows = [(1, prices, "en"), (2, plain, "en"), (3, table, "en"), (4, same, "en"), (5, mixed, "en"), (6, "1 2 3 4 5 6 7 8 9 10 11 12", None), (7, table, "xx")]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES).collect()}
+    assert [got[i].kept for i in range(1, 8)] == [True, True, False, False, False, False, False]
+    assert got[1].chars_per_token == got[2].chars_per_token and got[1].n_words == len(prices.split())
+    assert got[6].chars_per_token is None and not got[6].base_failed
+
+
+def test_empty_table(spark):
+    assert quality.judge(spark.createDataFrame([], "doc_id long, text string, lang string"), PIECES).count() == 0
