@@ -361,18 +361,36 @@ def _keyed_bags(plan: Plan):
 
 
 def keep_one(docs: DataFrame, plan: Plan = Plan(), text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without those whose class has a lesser id; of repeated rows one stays.
+    """One row of each class of near-duplicates: that of the least id; of repeated rows one stays.
 
-    Rows with a null id stay.
+    Unlike texts of one id are documents of their own: rows are then numbered and compared by number. Rows
+    with a null id and texts without words stay. An empty table stays empty; other columns stay as they are,
+    whatever their names.
     """
+    key, names = docs[f"`{id_column}`"].cast("long"), docs.columns
+    ids = docs.select(key.alias("id"), F.xxhash64(whole_text(text)).alias("same")).groupBy("id")
+    ids = staged(ids.agg(F.count(F.lit(1)).alias("n"), (F.min("same") != F.max("same")).alias("differ")), "bagminhash-ids")
+    if not ids.where("id is not null and differ").isEmpty():
+        named = _keep_one_by_row(docs.where(key.isNotNull()), plan, text, id_column)
+        return named.unionByName(docs.where(key.isNull()))
     found = near_duplicates(docs, plan, text, id_column)
     lost = staged(found.where("not kept").select(F.col("doc_id").alias("lost_")), "bagminhash-lost")
-    key = docs[f"`{id_column}`"].cast("long")
     kept = docs.join(lost, key == lost["lost_"], "left_anti")
-    again = docs.where(key.isNotNull()).groupBy(key.alias("again_")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_")
-    again = staged(again, "bagminhash-again")
+    again = staged(ids.where("n > 1 and id is not null").select(F.col("id").alias("again_")), "bagminhash-again")
     if again.isEmpty():
         return kept
     once = kept.join(again, kept[f"`{id_column}`"].cast("long") == again["again_"], "left_anti")
     more = kept.join(again, kept[f"`{id_column}`"].cast("long") == again["again_"], "left_semi").dropDuplicates([id_column])
-    return once.unionByName(more)
+    return once.unionByName(more).select(*[F.col(f"`{c}`") for c in names])
+
+
+def _keep_one_by_row(docs: DataFrame, plan: Plan, text: str, id_column: str) -> DataFrame:
+    """``keep_one`` for rows that their ids don't tell apart: repeats go first, then rows are numbered."""
+    rows = docs.dropDuplicates([id_column, text]).select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    rows = staged(rows.withColumn("nth", F.monotonically_increasing_id()), "bagminhash-rows")
+    numbered = rows.select("nth", F.col(f"row.`{id_column}`").cast("long").alias("id"), F.col(f"row.`{text}`").alias("text"))
+    classes = near_duplicates(numbered.select("nth", "text"), plan, "text", "nth").select(F.col("doc_id").alias("nth"), "class_id")
+    known = classes.join(numbered.select("nth", "id"), "nth")
+    best = known.groupBy("class_id").agg(F.min(F.struct("id", "nth")).alias("best"))
+    stay = staged(best.select(F.col("best.nth").alias("nth")), "bagminhash-stay")
+    return rows.join(stay, "nth", "left_semi").select("row.*")

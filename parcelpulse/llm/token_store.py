@@ -40,14 +40,16 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         used = np.bincount(ids) > 0 if len(ids) else np.zeros(0, bool)
         alphabet = np.flatnonzero(used).astype(np.uint32)
-        current = (np.cumsum(used) - 1)[ids].astype(np.uint32) if len(ids) else np.zeros(0, np.uint32)
+        kind = _narrow(len(alphabet))
+        current = (np.cumsum(used) - 1).astype(kind)[ids] if len(ids) else np.zeros(0, kind)
         planes, ones = [], []
         for bit in reversed(range(max(1, int(len(alphabet) - 1).bit_length()))):
-            is_one = (current >> bit & 1).astype(bool)
+            is_one = (current & kind(1 << bit)) != 0
             plane = np.packbits(is_one, bitorder="little")
             planes.append(plane)
             ones.append(_running(plane))
-            current = np.concatenate([current[~is_one], current[is_one]])
+            if bit:
+                current = np.concatenate([current[~is_one], current[is_one]])
         return cls(len(ids), alphabet, planes, ones)
 
     def _bit(self, level: int, i: int) -> int:
@@ -104,12 +106,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids, from the last plane upwards."""
-        current = np.zeros(self.n, np.uint32)
+        kind = _narrow(len(self.alphabet))
+        current = np.zeros(self.n, kind)
         for level in reversed(range(len(self.planes))):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            above, cut = np.empty(self.n, np.uint32), self.zeros[level]
+            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            above, cut = np.empty(self.n, kind), self.zeros[level]
             above[~bits] = current[:cut]
-            above[bits] = current[cut:] | np.uint32(1 << (len(self.planes) - 1 - level))
+            above[bits] = current[cut:] | kind(1 << (len(self.planes) - 1 - level))
             current = above
         return self.alphabet[current]
 
@@ -127,6 +130,11 @@ class WaveletMatrix:
         )
 
 
+def _narrow(alphabet: int) -> type:
+    """The type of an id's place in the alphabet."""
+    return np.uint16 if alphabet <= 1 << 16 else np.uint32
+
+
 def _running(plane: np.ndarray) -> np.ndarray:
     padded = np.zeros(-(-len(plane) // (STRIDE // 8)) * (STRIDE // 8), np.uint8)
     padded[: len(plane)] = plane
@@ -160,7 +168,8 @@ class WordIds:
         self.memo.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(words, found, strict=True))
 
     def _together(self, words: list[bytes]) -> None:
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, self.kind)
+        found = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+        ids = np.array(found[0].ids, self.kind)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(words) or (len(ids) and stops[-1] != len(ids)):
             self._one_by_one(words)  # a letter that the library takes for something else

@@ -113,3 +113,17 @@ def test_vectors_like_brute_force(spark, block):
     assert got[1][1] == want[1]
     assert all(got[i] == (0, i, True) for i, _, _ in lone) and got[None] == (0, None, True) and len(out) == len(label) + 9
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_keep_one_where_ids_do_not_tell_rows_apart(spark):
+    """Unlike texts of one id stay both, repeats go, the least id of a class stays, and so do null ids."""
+    words = [f"word{i}" for i in range(40)]
+    a, b, c = " ".join(words), " ".join(reversed(words)), " ".join(words[::2] * 2)
+    near = " ".join([*words[:39], "other"])
+    rows = [(1, a), (1, b), (2, near), (None, c), (None, c), (None, a), (3, c), (4, ""), (4, ""), (4, None), (5, "alone here")]
+    df = spark.createDataFrame([(i, t, "k", 7) for i, t in rows], "doc_id long, text string, row string, nth int")
+    got = minhash.keep_one(df)
+    assert got.columns == df.columns
+    kept = sorted((str(r.doc_id), str(r.text)) for r in got.collect())
+    assert kept == sorted([("1", a), ("1", b), ("3", c), ("4", ""), ("4", "None"), ("5", "alone here"), ("None", a), ("None", c), ("None", c)])
+    assert minhash.keep_one(df.limit(0)).count() == 0
