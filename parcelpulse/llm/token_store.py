@@ -49,7 +49,7 @@ class WaveletMatrix:
             planes.append(plane)
             ones.append(_running(plane))
             if bit:
-                current = np.concatenate([current[~is_one], current[is_one]])
+                current = np.concatenate([np.compress(~is_one, current), np.compress(is_one, current)])
         return cls(len(ids), alphabet, planes, ones)
 
     def _bit(self, level: int, i: int) -> int:
@@ -111,8 +111,8 @@ class WaveletMatrix:
         for level in reversed(range(len(self.planes))):
             bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             above, cut = np.empty(self.n, kind), self.zeros[level]
-            above[~bits] = current[:cut]
-            above[bits] = current[cut:] | kind(1 << (len(self.planes) - 1 - level))
+            above[np.flatnonzero(~bits)] = current[:cut]
+            above[np.flatnonzero(bits)] = current[cut:] | kind(1 << (len(self.planes) - 1 - level))
             current = above
         return self.alphabet[current]
 
