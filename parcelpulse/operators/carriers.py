@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.text import strip
+from parcelpulse.session import staged
 from parcelpulse.sources import schemas as S
+from parcelpulse.sources import versions
 
 
 def parse_envelopes(raw: DataFrame) -> DataFrame:
@@ -77,6 +79,39 @@ def carrier_per_order(
     )
 
 
+def carrier_state(carriers: DataFrame, seen: str = "seen") -> DataFrame:
+    """What can be merged: per order, month and code the number of envelopes and the first one seen."""
+    first = F.struct(F.col(seen).alias("seen"), "carrier_code", "carrier_name")
+    return carriers.groupBy("logistic_order_id", "year_month", "carrier_code").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first"))
+
+
+def carriers_of_state(state: DataFrame) -> DataFrame:
+    """``carrier_per_order`` from states of any months."""
+    per_code = state.groupBy("logistic_order_id", "carrier_code").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.min("year_month").alias("first_month")
+    )
+    best = per_code.groupBy("logistic_order_id").agg(
+        F.min(F.struct((-F.col("n")).alias("minus_n"), "first")).alias("best"), F.min("first_month").alias("year_month"), F.sum("n").alias("n_envelopes")
+    )
+    return best.select("logistic_order_id", "best.first.carrier_code", "best.first.carrier_name", "year_month", "n_envelopes")
+
+
+def load_carrier_months(carriers: DataFrame, path: str, reloaded: Sequence[str] = (), seen: str = "seen") -> DataFrame:
+    """Put the months of ``carriers`` into the stored state, all or nothing, and return the new rows of touched orders.
+
+    Touched are the orders with an envelope in these months now or before; an order that lost its last one comes
+    back with nulls. Envelopes of other months are not read again, only their states.
+    """
+    spark = carriers.sparkSession
+    state = staged(carrier_state(carriers, seen), "carrier-state")
+    months = sorted({*reloaded, *[r[0] for r in state.select("year_month").distinct().collect()]})  # months, no rows
+    before = staged(versions.read_months(spark, path, state.schema, months).select("logistic_order_id"), "carrier-before")
+    versions.reload_months(state, path, months)
+    touched = staged(before.unionByName(state.select("logistic_order_id")).distinct(), "carrier-touched")
+    whole = versions.read_months(spark, path, state.schema).join(touched, "logistic_order_id", "left_semi")
+    return touched.join(carriers_of_state(whole), "logistic_order_id", "left")
+
+
 def carrier_earliest_month(carriers: DataFrame, seen: str = "seen") -> DataFrame:
     """Mode per order and month, then the earliest month wins."""
     monthly = carrier_per_order(carriers, seen, ("logistic_order_id", "year_month"))

@@ -22,7 +22,7 @@ from parcelpulse.operators import timeline as tl
 from parcelpulse.plans.warehouse import Warehouse, open_warehouse
 from parcelpulse.session import new_folder, staged
 from parcelpulse.sources import bindings as B
-from parcelpulse.sources import readers, sinks
+from parcelpulse.sources import readers, sinks, versions
 from parcelpulse.sources import schemas as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,45 @@ def month_reload_roundtrip(w: Warehouse) -> DataFrame:
     return qc.reconcile(log, w.spark.read.schema(log.schema).parquet(path))
 
 
+@query
+def month_versions_roundtrip(w: Warehouse) -> DataFrame:
+    """The same by manifests, with a load of 1997 that dies before its commit, one that is committed, and a sweep."""
+    log = w.stored("package-log", lambda: w.package_log)
+    path = new_folder(w.spark, "month-versions")
+    again = [f"1997-{m:02d}" for m in range(1, 13)]
+    versions.reload_months(log, path)
+    versions.write_load(log.where("year_month = '1997-05'"), path)
+    versions.reload_months(log.where(F.col("year_month").isin(again) & (F.col("year_month") != "1997-03")), path, again)
+    versions.sweep(w.spark, path)
+    return qc.reconcile(log, versions.read_months(w.spark, path, log.schema))
+
+
+@query
+def bucketed_upsert(w: Warehouse) -> DataFrame:
+    """First carrier of each order, loaded month by month of a year into buckets: first seen wins, whatever the load."""
+    path = new_folder(w.spark, "carriers-buckets")
+    rows = w.carriers.select("logistic_order_id", "carrier_code", "seen", "year_month")
+    for part in (F.col("year_month") < "1996-01", F.col("year_month") < "1998-01", F.col("year_month").isNotNull()):
+        sinks.upsert_first_bucketed(rows.where(part), path, ["logistic_order_id"], ["year_month", "seen", "carrier_code"], 32)
+    return w.spark.read.parquet(path).select("logistic_order_id", "carrier_code", "year_month")
+
+
+def _two_month_carriers(w: Warehouse) -> DataFrame:
+    """Envelopes of which every third is filed a month later, so that orders have carriers in two months."""
+    later = F.date_format(F.add_months(F.to_date("year_month", "yyyy-MM"), 1), "yyyy-MM")
+    return w.carriers.withColumn("year_month", F.when(F.col("seen.l_partkey") % 3 == 0, later).otherwise(F.col("year_month")))
+
+
+@query
+def carrier_months_merged(w: Warehouse) -> DataFrame:
+    """The carriers of all orders from states that were loaded month group by month group, one of them twice."""
+    rows, path = staged(_two_month_carriers(w), "two-month-carriers"), new_folder(w.spark, "carrier-state")
+    ca.load_carrier_months(rows.where("year_month < '1998-01'"), path)
+    ca.load_carrier_months(rows.where("year_month >= '1998-01'"), path)
+    ca.load_carrier_months(rows.where("year_month like '1997%'"), path)
+    return ca.carriers_of_state(versions.read_months(w.spark, path, ca.carrier_state(rows).schema))
+
+
 @query
 def missing_months_append(w: Warehouse) -> DataFrame:
     """Load three years, then append the months still missing; months already there stay."""

@@ -94,6 +94,24 @@ _SQL: dict[str, str] = {
         SELECT year_month, count(*) AS source_rows, CASE WHEN year_month = '1997-03' THEN 0 ELSE count(*) END AS target_rows,
                CASE WHEN year_month = '1997-03' THEN 'MISMATCH' ELSE 'OK' END AS status
         FROM base_lines WHERE l_returnflag <> 'R' GROUP BY 1""",
+    "month_versions_roundtrip": """
+        SELECT year_month, count(*) AS source_rows, CASE WHEN year_month = '1997-03' THEN 0 ELSE count(*) END AS target_rows,
+               CASE WHEN year_month = '1997-03' THEN 'MISMATCH' ELSE 'OK' END AS status
+        FROM base_lines WHERE l_returnflag <> 'R' GROUP BY 1""",
+    "bucketed_upsert": """
+        SELECT logistic_order_id, carrier_code, year_month FROM carrier_rows
+        QUALIFY row_number() OVER (PARTITION BY logistic_order_id ORDER BY year_month, n1, n2, n3, carrier_code) = 1""",
+    "carrier_months_merged": """
+        WITH filed AS (
+            SELECT * REPLACE (CASE WHEN n2 % 3 = 0 THEN strftime(strptime(year_month || '-01', '%Y-%m-%d') + INTERVAL 1 MONTH, '%Y-%m')
+                                   ELSE year_month END AS year_month) FROM carrier_rows),
+        codes AS (
+            SELECT logistic_order_id, carrier_code, count(*) AS n, min(year_month) AS month, min((n1, n2, n3)) AS seen,
+                   arg_min(carrier_name, (n1, n2, n3)) AS carrier_name
+            FROM filed GROUP BY 1, 2)
+        SELECT logistic_order_id, arg_min(carrier_code, (-n, seen, carrier_code)) AS carrier_code,
+               arg_min(carrier_name, (-n, seen, carrier_code)) AS carrier_name, min(month) AS year_month, sum(n)::BIGINT AS n_envelopes
+        FROM codes GROUP BY 1""",
     "missing_months_append": """
         SELECT year_month, count(*) AS n, count(DISTINCT o_orderkey) AS n_orders
         FROM base_lines WHERE l_returnflag <> 'R' GROUP BY 1""",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelpulse.functions.joins import null_safe_join
 from parcelpulse.session import staged
 
 
@@ -148,6 +149,32 @@ def upsert_first(new: DataFrame, path: str, key: Sequence[str], order_by: Sequen
     staged(rows, "upsert").write.mode("overwrite" if target is None else "append").parquet(path)
 
 
+BUCKET = "bucket"
+
+
+def upsert_first_bucketed(new: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str], buckets: int = 256) -> list[int]:
+    """``upsert_first`` into a table in buckets by key, of which only those that new keys fall into are read.
+
+    A key's bucket is a digest of it, so a bucket holds about the same share of any keys, and a load of few keys
+    reads few buckets however large the table is. The numbers of the buckets touched, at most ``buckets``, come
+    to the driver and prune the folders. Returns them. Null keys are kept like others.
+    """
+    spark = new.sparkSession
+    rows = staged(first_rows(new, key, order_by).withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")), "upsert-new")
+    touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+    if _has_parts(spark, path):
+        known = read_buckets(spark, path, rows.schema, touched).select(BUCKET, *key).withColumn("__known", F.lit(True))
+        rows = null_safe_join(rows, known, [BUCKET, *key], "left").where("__known is null").drop("__known")
+        rows = staged(rows, "upsert")
+    rows.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(path)
+    return touched
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
+    table = spark.read.schema(schema).parquet(path)
+    return table if only is None else table.where(F.col(BUCKET).isin(list(only)))
+
+
 def write_json_sets(sets: Mapping[str, DataFrame], path: str) -> None:
     """Several result sets side by side, one folder of JSON lines each."""
     for name, df in sets.items():

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelpulse.session import new_folder, shared_folder
-from parcelpulse.sources import readers, sinks
+from parcelpulse.operators import carriers
+from parcelpulse.sources import readers, sinks, versions
 from parcelpulse.streaming.ingest import load_new_files
 
 
@@ -40,6 +41,72 @@ def test_a_reloaded_month_without_rows_is_emptied(spark, folder):
     assert sorted(r.id for r in spark.read.parquet(folder).collect()) == ["c", "d"]
 
 
+def _ids(spark, folder, **kw):
+    return sorted(r.id for r in versions.read_months(spark, folder, _log(spark, []).schema, **kw).collect())
+
+
+def test_a_load_is_all_or_nothing(spark, folder, monkeypatch):
+    assert _ids(spark, folder) == []
+    one = versions.reload_months(_log(spark, [("a", 1, "2025-01"), ("b", 2, "2025-02"), ("n", 0, None)]), folder)
+    new = _log(spark, [("c", 3, "2025-02"), ("d", 4, "2025-03")])
+    versions.write_load(new, folder)  # dies before its commit
+    assert _ids(spark, folder) == ["a", "b", "n"]
+    with monkeypatch.context() as m:  # dies while it commits
+        m.setattr(versions._Files, "rename", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            versions.reload_months(new, folder, ["2025-01"])
+    assert _ids(spark, folder) == ["a", "b", "n"]
+    two = versions.reload_months(new, folder, ["2025-01", "2031-01"])  # runs again
+    assert (one, two) == (1, 2) and _ids(spark, folder) == ["c", "d", "n"]
+    assert _ids(spark, folder, only=["2025-03"]) == ["d"] and _ids(spark, folder, number=1) == ["a", "b", "n"]
+    assert versions.sweep(spark, folder) == 6 and _ids(spark, folder) == ["c", "d", "n"] and _ids(spark, folder, number=1) == []
+    assert versions.sweep(spark, folder) == 0
+    versions.reload_months(_log(spark, []), folder, ["2025-02", "2025-03", "__HIVE_DEFAULT_PARTITION__"])
+    assert _ids(spark, folder) == []
+
+
+def test_of_two_loads_at_once_one_fails(spark, folder, monkeypatch):
+    versions.reload_months(_log(spark, [("a", 1, "2025-01")]), folder)
+    load, seen = versions.write_load(_log(spark, [("z", 9, "2025-01")]), folder), versions.manifest(spark, folder)
+    versions.reload_months(_log(spark, [("b", 2, "2025-02")]), folder)
+    monkeypatch.setattr(versions, "manifest", lambda *_: seen)
+    with pytest.raises(RuntimeError):
+        versions.commit_load(spark, folder, load)
+    monkeypatch.undo()
+    assert _ids(spark, folder) == ["a", "b"]
+
+
+def test_upsert_reads_touched_buckets_only(spark, folder):
+    rows = spark.range(2000).select(F.format_string("k%05d", "id").alias("id"), F.lit(1).alias("v"))
+    assert len(sinks.upsert_first_bucketed(rows, folder, ["id"], ["v"], 64)) == 64
+    more = spark.createDataFrame([("k00007", 0), ("new", 5), ("new", 4), (None, 1), (None, 0)], "id string, v int")
+    touched = sinks.upsert_first_bucketed(more, folder, ["id"], ["v"], 64)
+    got = spark.read.parquet(folder)
+    assert len(touched) <= 3 and got.count() == 2002
+    assert {r.id: r.v for r in got.where("id is null or id in ('k00007', 'new')").collect()} == {"k00007": 1, "new": 4, None: 0}
+    assert sinks.upsert_first_bucketed(more, folder, ["id"], ["v"], 64) == touched and spark.read.parquet(folder).count() == 2002
+    read = sinks.read_buckets(spark, folder, got.schema, touched)
+    assert "PartitionFilters: [bucket#" in read._jdf.queryExecution().toString()
+    assert read.select(F.input_file_name()).distinct().count() < len(got.inputFiles()) / 10
+
+
+def test_carriers_month_by_month_equal_the_full_run(spark, folder):
+    """Two months with ties, a month loaded again with other rows, and an order that loses its only envelope."""
+    kind = "logistic_order_id string, year_month string, carrier_code string, carrier_name string, seen long"
+    jan = [("1", "2025-01", "A", "a", 1), ("1", "2025-01", "B", "b", 2), ("2", "2025-01", "C", "c", 3), ("3", "2025-01", "D", "d", 4)]
+    feb = [("1", "2025-02", "B", "bb", 5), ("2", "2025-02", "A", "a", 6), ("2", "2025-02", "A", "a", 7)]
+    again = [("1", "2025-01", "A", "a", 1), ("1", "2025-01", "A", "a", 8), ("2", "2025-01", "C", "c", 3)]
+    make = lambda rows: spark.createDataFrame(rows, kind)
+    full = lambda rows: {r.logistic_order_id: tuple(r) for r in carriers.carrier_per_order(make(rows)).select("logistic_order_id", "carrier_code", "carrier_name", "year_month", "n_envelopes").collect()}
+    table = {}
+    for load, now in ((jan, jan), (feb, jan + feb), (again, again + feb)):
+        touched = {r.logistic_order_id: tuple(r) for r in carriers.load_carrier_months(make(load), folder).collect()}
+        assert set(touched) >= {r[0] for r in load}
+        table = {k: r for k, r in {**table, **touched}.items() if r[1] is not None}
+        assert table == full(now)
+    assert touched["3"][1:] == (None, None, None, None)
+
+
 def test_tab_separated_text_comes_back(spark, folder):
     rows = [
         ("a\tb", 1, None), ("", 2, "n"), ("line\nbreak", 3, "x"), ('q"uo"te', None, "\\N"), ("\\N", 5, "\\"), (None, 6, " lead "),
