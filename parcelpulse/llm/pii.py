@@ -217,24 +217,26 @@ def _with_places(held: DataFrame, into: str) -> DataFrame:
     """Adds ``<into>terms``: every place of the words in ``<into>told`` that no base span covers."""
     body, told = F.col(f"{into}text"), F.col(f"{into}told")
     none = F.array().cast("array<string>")
-    held = held.withColumns(
-        {
+    # settled, as the lambdas below would split the text anew for every word
+    held = settled(
+        held,
+        **{
             f"{into}m": F.when(told.isNotNull(), F.regexp_extract_all(body, F.lit(WORD), F.lit(0))).otherwise(none),
             f"{into}g": F.when(told.isNotNull(), F.split(body, WORD, -1)).otherwise(none),
-        }
-    )
-    held = held.withColumn(f"{into}i", _items(F.col(f"{into}m"), F.col(f"{into}g"))).drop(f"{into}m", f"{into}g")
-    held = held.withColumn(f"{into}p", _slices(F.col(f"{into}i"))).drop(f"{into}i")
-    held = held.withColumn(f"{into}told", F.map_from_entries(told))
+            f"{into}of": F.map_from_entries(told),
+        },
+    ).drop(f"{into}told")
+    held = settled(held, **{f"{into}i": _items(F.col(f"{into}m"), F.col(f"{into}g"))}).drop(f"{into}m", f"{into}g")
+    held = settled(held, **{f"{into}p": _slices(F.col(f"{into}i"))}).drop(f"{into}i")
     held = settled(held, **{f"{into}w": _spans("term", F.col(f"{into}p"))}).drop(f"{into}p")
     marked = F.transform(
-        f"{into}w", lambda w: F.struct(w.start.alias("start"), w.stop.alias("stop"), F.try_element_at(F.col(f"{into}told"), F.lower(w.value)).alias("alone"))
+        f"{into}w", lambda w: F.struct(w.start.alias("start"), w.stop.alias("stop"), F.try_element_at(F.col(f"{into}of"), F.lower(w.value)).alias("alone"))
     )
     clear = F.filter(
         F.filter(marked, lambda w: w.alone.isNotNull()),
         lambda w: ~F.exists(f"{into}spans", lambda s: (s.start < w.stop) & (w.start < s.stop)),
     )
-    return settled(held, **{f"{into}terms": clear}).drop(f"{into}w", f"{into}told")
+    return settled(held, **{f"{into}terms": clear}).drop(f"{into}w", f"{into}of")
 
 
 def find(docs: DataFrame, disclosure: Disclosure = Disclosure(), text: str = "text", into: str = "pii_") -> DataFrame:
