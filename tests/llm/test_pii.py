@@ -101,3 +101,38 @@ def test_terms_are_found_wherever_they_stand(spark):
 def test_no_python_on_the_main_path(spark):
     plan = pii.find(_corpus(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _lower_bound(both, term, z=0.84):
+    p = both / term
+    return (p + z * z / (2 * term) - z * (p * (1 - p) / term + z * z / (4 * term * term)) ** 0.5) / (1 + z * z / term)
+
+
+def test_entities_of_one_and_two_documents_by_brute_force(spark):
+    import math
+
+    rows = [(i, f"Plain words stand here and say nothing of anyone, number {'abcdefghij'[i % 10] * 4}.") for i in range(400)]
+    rows += [(500, "Plain words of Quentin and Aldous, one@x.org two@x.org, said here"), (501, "Aldous here"), (502, "three@x.org by Petronella, twice"), (503, "three@x.org for Petronella")]
+    texts = [t for _, t in rows]
+    held = {d: (t, re.findall(FORMS["email"].replace("(", "(?:"), t)) for d, t in rows if "@" in t}
+    words = [set(re.findall(r"[^\W\d_]{3,}", t.lower())) for t in texts]
+    want = {}
+    for d, (text, mails) in held.items():
+        want[d] = set()
+        for mail in mails:
+            n = sum(mail in t for t in texts)
+            for w in set(re.findall(r"[^\W\d_]{3,}", re.sub(r"\S+@\S+", " ", text).lower())):
+                both, term = sum(mail in t and w in s for t, s in zip(texts, words)), sum(w in s for s in words)
+                share = both / term if both >= 3 else _lower_bound(both, term)
+                if 1 + math.log(share) / math.log(len(texts) / n) >= 0.9:
+                    want[d].add(w)
+    found = {r.doc_id: {r.pii_text[t.start : t.stop].lower() for t in r.pii_terms} for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "quentin" in want[500] and "aldous" not in want[500] and "petronella" in want[502] and "here" not in want[500]
+    assert {d: found[d] for d in held} == want and not any(found[d] for d in found if d not in held)
+
+
+def test_columns_of_the_table_stay_whatever_their_names(spark):
+    rows = [(1, "mail a@b.cc now", "mine", "k", 7), (2, "clean", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii_text string, PII_key string, pii_spans int")
+    out = {r.doc_id: r for r in pii.sanitise(df).collect()}
+    assert tuple(out[1]) == (1, "mail [EMAIL] now", "mine", "k", 7) and tuple(out[2]) == rows[1]
