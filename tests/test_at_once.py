@@ -2,12 +2,15 @@
 
 import datetime as dt
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from parcelpulse.functions.sequences import hot_keys
 from parcelpulse.operators import orders, timeline
+from parcelpulse.plans import catalog
+from parcelpulse.plans.warehouse import Warehouse
 from parcelpulse.sources import schemas as S
 
 EVENT = "logistic_order_id string, source_order_type string, fulfillment_order_type string, year_month string, " \
@@ -67,3 +70,35 @@ def test_hot_keys_are_those_above_the_limit(events):
     counts = events.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 60").select(*key)
     assert _sorted(hot_keys(events, key, 60)) == _sorted(counts)
     assert hot_keys(events, key, 900) is None
+
+
+def test_models_that_need_nothing_of_each_other_are_fitted_side_by_side(spark, monkeypatch):
+    """Each fit waits until the others have begun; one after the other, the first would wait in vain."""
+    both, three = threading.Barrier(2), threading.Barrier(3)
+    monkeypatch.setattr(catalog, "_risk", lambda w: both.wait(20) * 0 or "risk")
+    monkeypatch.setattr(catalog, "_flow_risk", lambda w: both.wait(20) * 0 or "flow-risk")
+    rows = spark.createDataFrame([("train", 5.0), ("train", 7.0), ("val", 6.0)], "split_set string, target_horas_totales double")
+    rows = rows.withColumn("desvio_sla", F.col("target_horas_totales") - 4)
+    asked = []
+
+    def fit(df, encoder, target, offset):
+        three.wait(20)
+        asked.append(target)
+        return target
+
+    monkeypatch.setattr(catalog.ft, "hours_population", lambda df: df)
+    monkeypatch.setattr(catalog.ml, "fit_encoder", lambda *a: None)
+    monkeypatch.setattr(catalog.ml, "fit_hours", fit)
+    monkeypatch.setattr(catalog.ml, "hours_predictions", lambda fitted, df, keep: df.withColumn("horas_pred", F.col("horas") + 1))
+
+    class Own(Warehouse):
+        dataset_with_history = dataset_with_flow = orders = dataset = rows
+
+    w = Own(spark, "none")
+    scored = []
+    monkeypatch.setattr(catalog.ml, "predictions", lambda fitted, df: scored.append(fitted) or rows)
+    monkeypatch.setattr(catalog.ev, "binary_metrics", lambda df: df)
+    monkeypatch.setattr(catalog.ev, "compare", lambda reports: reports)
+    assert set(catalog.classifier_quality(w)) == {"creacion", "flujo"} and scored == ["risk", "flow-risk"]
+    done = catalog.experiment_grid(w)
+    assert {r.experimento for r in done.collect()} == {"reg_v2a", "reg_v2b", "reg_v2c"} and len(asked) == 3
