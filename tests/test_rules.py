@@ -366,6 +366,26 @@ def test_late_improvement_is_kept(spark, monkeypatch):
     assert asked == [6, 8] and model.getNumTrees == 6 and len(curve) == 8
 
 
+def test_a_falling_loss_is_not_fitted_thrice(spark, monkeypatch):
+    """A loss that falls to the last round is fitted to all rounds at once, a flat one to twice as many."""
+    rows = models.boosting_rows(_boosting_rows(spark), models.fit_encoder(_boosting_rows(spark), ["x", "y"], ["c"]), [], F.col("target_binario"))
+    asked, curve = [], []
+
+    class Watched(GBTClassifier):
+        def fit(self, df):
+            model = super().fit(df)
+            asked.append(self.getMaxIter())
+            monkeypatch.setattr(type(model), "evaluateEachIteration", lambda m, _: curve[: m.getNumTrees])
+            return model
+
+    monkeypatch.setattr(boosting, "GBTClassifier", Watched)
+    settings = models.TreeSettings(rounds=20, step=0.1, depth=1, min_rows=5, patience=1)
+    curve[:] = [1.0 - n / 100 for n in range(20)]
+    assert len(boosting.fit_patient(Watched, rows, settings)[1]) == 20 and asked == [3, 20]
+    assert [boosting.next_rounds(150, at, models.TreeSettings()) for at in (150, 141, 140, 110)] == [1000, 1000, 300, 300]
+    assert boosting.next_rounds(600, 560, models.TreeSettings()) == 1000
+
+
 def test_cut_model_equals_a_shorter_fit(spark):
     enc = models.fit_encoder(_boosting_rows(spark), ["x", "y"], ["c"])
     rows = models.boosting_rows(_boosting_rows(spark), enc, [], F.col("target_binario"))
