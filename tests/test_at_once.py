@@ -53,6 +53,42 @@ def test_milestones_of_hot_and_other_keys(events, limit):
     assert _sorted(got) == _sorted(by_trait)
 
 
+@pytest.fixture(scope="module")
+def few_names(spark):
+    """Types, states and 100 actors, few enough to be numbered, with nulls in every column and order types in other letters."""
+    rng = random.Random(5)
+    kinds = [S.CREATED, S.PACKED, S.DISPATCHED, S.ITEM_DISPATCHED, S.ANNULLED_ITEMS, "OTHER", None]
+    rows = []
+    for _ in range(1500):
+        at = dt.datetime(1969, 12, 30) + dt.timedelta(hours=rng.randrange(60), microseconds=rng.choice([0, 1]))
+        actor = rng.choice([None, "é", "Z", "\U0001f600", "\uffee", *[f"a{i:03d}" for i in range(96)]])
+        state = rng.choice(["NEW", S.COMPLETED, "ZZ", "é", None])
+        order = rng.choice(["hot", None, f"o{rng.randrange(60)}", "quiet"])
+        if order == "quiet":
+            actor = state = None
+        rows.append((order, rng.choice(["A", None]), "F", rng.choice(["2025-01", None]), rng.choice([at, at, at, None]), rng.choice(kinds), state, actor))
+    return spark.createDataFrame(rows, EVENT).repartition(3)
+
+
+@pytest.mark.parametrize("keys", [timeline.ORDER_KEYS, ("logistic_order_id",)])
+def test_few_names_are_aggregated_as_numbers(few_names, keys):
+    """In buffers that are hashed: nothing is sorted or held as objects, so nothing spills as it grows."""
+    got, sets = timeline.milestones(few_names, keys=keys), timeline._milestones_at_once(few_names, timeline.MILESTONES, keys)
+    assert got.dtypes == sets.dtypes
+    assert _sorted(got) == _sorted(sets)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_many_names_and_far_times_are_not_numbered(spark, events, few_names):
+    assert timeline._few_traits(events) is None  # an actor to each event
+    assert len(timeline._few_traits(few_names)["executed_by"]) == 100
+    far = few_names.limit(1).withColumn("event_at", F.lit("+20000-01-01 00:00:00").cast("timestamp_ntz"))
+    assert timeline._few_traits(few_names.unionByName(far)) is None
+    none = timeline.milestones(few_names.limit(0))
+    assert none.dtypes == timeline._milestones_at_once(few_names, timeline.MILESTONES, timeline.ORDER_KEYS).dtypes and none.isEmpty()
+
+
 @pytest.mark.parametrize("limit", [1, 20, 1000])
 def test_items_of_hot_and_other_orders(lines, limit):
     got, by_value = orders.item_summary(lines, limit=limit), orders._items_by_value(lines)
