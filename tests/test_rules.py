@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from parcelpulse.functions.times import day_band, hours_between, parse_iso, weekday
 from parcelpulse.operators import baselines, boosting, carriers, evaluation, features, flow, lookups, models, orders, quality, scoring
 from parcelpulse.operators import replay, staging, timeline
+from parcelpulse.sources import bindings
 from parcelpulse.sources import schemas as S
 
 T = dt.datetime
@@ -195,6 +196,24 @@ def test_flow_from_array_keeps_the_given_order(spark):
         assert (r.ultimo_estado, r.esta_shipment_confirmed, r.tuvo_exception) == ("SHIPMENT_CONFIRMED", 0, 0)
 
 
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_gaps_and_texts_of_itineraries_are_computed_once(spark):
+    """Gaps stand in a column that largest, mean and number are taken from; each milestone's text in one as well."""
+    df = spark.createDataFrame([("1", [("2025-01-01T10:00:00Z", "IN_TRANSIT")])], ARRAY)
+    assert _optimized(flow.flow_from_array(df)).count("zip_with(") == 1
+    rows = [("1", T(2025, 1, 1, 10), T(2025, 1, 1, 12), None, None), ("3", T(2025, 1, 1, 10), T(2025, 1, 1, 12), None, T(2025, 1, 1, 14))]
+    none = {c: F.lit(None).cast("boolean") for c in ("is_click_and_collect", "is_high_season", "has_insurance")}
+    none |= {"promised_date_to": F.lit(None).cast("timestamp_ntz"), "service_category": F.lit("A"), "total_items": F.lit(1), "distinct_skus": F.lit(1)}
+    made = bindings.itineraries(spark.createDataFrame(rows, "logistic_order_id string, created_at timestamp_ntz, packed_at timestamp_ntz, dispatched_at timestamp_ntz, completed_at timestamp_ntz").withColumns(none))
+    assert _optimized(made.select("pedido", "eventos")).count("date_format(") == 4
+    got = {r.pedido: [tuple(e) for e in r.eventos] for r in made.collect()}
+    ship, move, tried = ("2025-01-01T10:00:00Z", S.SHIPMENT_CONFIRMED), ("2025-01-01T12:00:00Z", S.IN_TRANSIT), ("2025-01-01T14:00:00Z", S.DELIVERY_ATTEMPTED)
+    assert got == {"1": [ship, move], "3": [move, ship, tried]}
+
+
 def test_order_without_events_gets_minus_one(spark):
     base = spark.createDataFrame([("1",), ("2",)], "logistic_order_id string")
     events = spark.createDataFrame([("1", T(2025, 1, 1), "IN_TRANSIT", 1)], "logistic_order_id string, event_dt timestamp_ntz, package_status string, event_id long")
