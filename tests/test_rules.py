@@ -214,6 +214,14 @@ def test_gaps_and_texts_of_itineraries_are_computed_once(spark):
     assert got == {"1": [ship, move], "3": [move, ship, tried]}
 
 
+def test_importance_has_features_that_no_tree_splits_on(spark):
+    rows = _boosting_rows(spark).withColumn("last", F.lit("same"))
+    enc = models.fit_encoder(rows, ["x", "y"], ["c", "last"])
+    fitted = models.fit_risk(rows, enc, models.TreeSettings(rounds=3, step=0.2, depth=3, min_rows=5))
+    got = {r.feature: (r.importance_gain, r.importance_split) for r in models.importance(fitted, rows).collect()}
+    assert set(got) == {"x", "y", "c", "last"} and got["last"] == (0.0, 0) and sum(g for g, _ in got.values()) == pytest.approx(1)
+
+
 def test_order_without_events_gets_minus_one(spark):
     base = spark.createDataFrame([("1",), ("2",)], "logistic_order_id string")
     events = spark.createDataFrame([("1", T(2025, 1, 1), "IN_TRANSIT", 1)], "logistic_order_id string, event_dt timestamp_ntz, package_status string, event_id long")
